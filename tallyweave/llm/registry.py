@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tallyweave.llm.bytebpe import op1_bytebpe
 from tallyweave.llm.simhash import op10_simhash
+from tallyweave.llm.substring import OP7_SQL, op7_substring
+from tallyweave.llm.toxicity import op4_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bytebpe, op10_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_bytebpe, op4_toxicity, op7_substring, op10_simhash)}
+ORACLES: dict[str, str] = {"op7_substring": OP7_SQL}
