@@ -30,12 +30,38 @@ def shared_dir(spark: SparkSession) -> str:
     return cache.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tallyweave-"))
 
 
+#: Spark removes the shuffle files of a query as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df through a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing."""
+    """df through a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing. Its shuffle files go once it is written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyweave-work/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a checkpointed table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._work_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcasts an object of this package's classes by value; what it returns gives the object on an executor."""
+    import pickle
+
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
 
 
 def process_cache(name: str) -> dict:

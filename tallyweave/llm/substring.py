@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import checkpointed, pieces, table, utf8
+from tallyweave.llm.common import checkpointed, discard, pieces, table, utf8
 
 #: Suffixes of one prefix that one suffix tree takes; prefixes with more are made longer, up to a whole window and its surroundings.
 TREE_ROWS = 1000
@@ -201,7 +201,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             yield flush()
 
     small = suffixes.where("not large").select("k1", "id", "th", "start", "n", "words").repartition("k1").sortWithinPartitions("k1")
-    found = small.mapInArrow(grow, f"id {kind}, th long, start int, n int")
+    found = checkpointed(small.mapInArrow(grow, f"id {kind}, th long, start int, n int"))
 
     # Long prefixes: equal surroundings are one class, of which all but the first repeat; the first ones of the classes meet window by window.
     place = F.struct(F.col("id").isNull().alias("late"), F.col("id").alias("id"), F.col("start").alias("start"))
@@ -223,9 +223,12 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("th").take(at), pa.array(starts, pa.int32()), pa.array(keys, pa.binary())], ["id", "th", "start", "key"])
 
     own = checkpointed(classes.where("place = first").select("id", "th", "start", "n", "words").mapInArrow(windows, f"id {kind}, th long, start int, key binary"))
-    own = own.withColumn("place", place)
-    met = own.join(own.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("c")).where("c > 1"), "key")
-    return found.union(copies).union(met.where("place > first").select("id", "th", "start", F.lit(1).alias("n")))
+    placed = own.withColumn("place", place)
+    met = placed.join(placed.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("c")).where("c > 1"), "key")
+    out = checkpointed(found.union(copies).union(met.where("place > first").select("id", "th", "start", F.lit(1).alias("n"))))
+    for done in (found, suffixes, classes, own):
+        discard(done)
+    return out
 
 
 def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **more) -> DataFrame:
