@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import pieces, table
+from tallyweave.llm.common import pieces, share, table
 
 WORD = re.compile(r"[^\W_]+").findall
 #: Labelled rows that the classifier learns from, at most: those with the smallest hash of their id.
@@ -223,10 +223,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """id_col, score double, threshold double (of the row's language), flagged boolean of every whole text; null texts count as empty. One row for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared()
         for batch in batches:
             got = [own.score(t or "") for t in batch.column(1).to_pylist()]
             cut = [own.thresholds.get(x or "", own.threshold) for x in batch.column(2).to_pylist()]
@@ -244,10 +244,10 @@ def keep_clean(docs: DataFrame, labels: DataFrame, **more) -> DataFrame:
     The text is scored where it is: nothing is shuffled. Rows with a null id or text are scored like others.
     """
     model = learn(docs, labels, **more)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared()
         for batch in pieces(batches, 256):
             langs = batch.column("lang").to_pylist() if "lang" in batch.schema.names else [None] * batch.num_rows
             keep = [own.score(t or "") < own.thresholds.get(x or "", own.threshold) for t, x in zip(batch.column("text").to_pylist(), langs, strict=True)]
