@@ -103,19 +103,35 @@ class Codec:
         self.used += total
         self.known.update(zip(new, range(k, k + len(ids)), strict=True))
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids (uint32) of a text; each match of the pattern by itself."""
+    def pieces(self, text: str) -> tuple[list[str], np.ndarray]:
+        """The matches of the pattern in a text, and the number of each among the known pieces."""
         if len(self.known) > PIECE_CACHE:
             self.forget()
         found = (self.find_basic if len(text.encode("utf-16-le")) == 2 * len(text) else self.find_any)(text)
         if new := [x for x in dict.fromkeys(found) if x not in self.known]:
             self.learn(new)
-        index = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        return found, np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids (uint32) of a text; each match of the pattern by itself."""
+        return self.ids(self.pieces(text)[1])
+
+    def ids(self, index: np.ndarray) -> np.ndarray:
         count = self.count[index]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(self.first[index] - (ends - count), count) + np.arange(total)]
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word (no spaces in it) after a space."""
+        if not words:
+            return []
+        found, index = self.pieces(" " + " ".join(words))
+        ids, count = self.ids(index).tolist(), np.cumsum(self.count[index])
+        # Words hold no space, so a piece that begins with one begins a word.
+        cuts = [0 if i == 0 else int(count[i - 1]) for i, x in enumerate(found) if x[0] == " "]
+        return [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First character and character after the last of each id. A character split over ids belongs to each of them."""
         raw = np.frombuffer(text.encode(), np.uint8)
