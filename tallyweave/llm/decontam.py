@@ -11,8 +11,8 @@ from tallyweave.llm.common import checkpointed, lower_ascii, table
 from tallyweave.llm.simhash import parts, signed
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-#: Words of 64 bits in the gate that passes over shingles no item has; a fuller gate lets more through and loses none.
-GATE_WORDS = 1 << 13
+#: The gate that passes over shingles no item has is a literal of 2**GATE_BITS bytes; a fuller gate lets more through and loses none.
+GATE_BITS = 18
 #: Rows of item shingles that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -92,6 +92,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     """
     item = items.select(F.col(item_col).alias("item"), words_of(F.col(item_text)).alias("w")).where(F.size("w") > 0)
     item = item.select("item", "w", F.size("w").alias("size"), n_shingles(F.col("w"), shingle).alias("n"), hashes(F.col("w"), shingle).alias("hs"))
+    # Arrays that a lambda reads over and over are written first, so that it reads them and doesn't work them out again.
+    item = checkpointed(item.withColumn("g", grams(F.col("w"), shingle)))
     item = checkpointed(item.withColumn("fp", simhash(F.col("hs"))))
     seeds = checkpointed(item.select("size", "n", F.posexplode("hs").alias("off", "h")).distinct())
     kinds = [(r["size"], r["n"]) for r in seeds.select("size", "n").distinct().collect()]
@@ -100,31 +102,31 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     few = seeds.count() <= BROADCAST_ROWS
     near = F.broadcast if few else lambda x: x
     step = stride(long, least)
-    slot = F.shiftrightunsigned("h", 64 - (GATE_WORDS * 64 - 1).bit_length())
-    # The gate is a literal of fixed size: one bit for each hash of an item's shingle.
-    gate = [0] * GATE_WORDS
-    for r in seeds.select(slot.alias("s")).distinct().toLocalIterator():
-        gate[r["s"] >> 6] |= 1 << (r["s"] & 63)
-    bits = F.lit([signed(x) for x in gate]) if few else None
+    gate = bytearray(1 << GATE_BITS)
+    for r in seeds.select(F.shiftrightunsigned("h", 64 - GATE_BITS).alias("s")).distinct().toLocalIterator():
+        gate[r["s"]] = 1
+    shut = F.lit(bytes(gate))
 
     def passes(h: Column) -> Column:
-        s = F.call_function("shiftrightunsigned", h, F.lit(64 - (GATE_WORDS * 64 - 1).bit_length()))
-        return F.getbit(F.element_at(bits, (F.shiftright(s, 6) + 1).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return F.substring(shut, F.call_function("shiftrightunsigned", h, F.lit(64 - GATE_BITS)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
 
-    doc = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    found = shingles_at(F.col("w"), F.sequence(F.lit(0), n_shingles(F.col("w"), shingle) - 1, F.lit(step)), shingle)
+    # No filter may be drawn from hits or w: pushed below, it would split a text again for each of its words.
+    doc = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("w"))
+    none = F.array().cast("array<struct<at:int,h:bigint>>")
+    found = F.when(F.size("w") > 0, shingles_at(F.col("w"), F.sequence(F.lit(0), F.greatest(n_shingles(F.col("w"), shingle) - 1, F.lit(0)), F.lit(step)), shingle)).otherwise(none)
     # An item of fewer words than a shingle is one shingle of its own size; those are looked up at every word.
     for k in sorted({size for size, _ in kinds if size < shingle}):
-        found = F.concat(found, F.when(F.size("w") > k, shingles_at(F.col("w"), F.sequence(F.lit(0), F.size("w") - k), k)).otherwise(F.array().cast("array<struct<at:int,h:bigint>>")))
+        found = F.concat(found, F.when(F.size("w") > k, shingles_at(F.col("w"), F.sequence(F.lit(0), F.size("w") - k), k)).otherwise(none))
     doc = doc.withColumn("hits", F.filter(found, lambda x: passes(x["h"])) if few else found)
-    hits = doc.select("id", "w", F.explode("hits").alias("hit")).select("id", "w", F.col("hit.at").alias("at"), F.col("hit.h").alias("h"))
+    hits = doc.select("id", "w", F.explode_outer("hits").alias("hit")).where("hit is not null").select("id", "w", F.col("hit.at").alias("at"), F.col("hit.h").alias("h"))
     shift = reduce(lambda acc, n: F.when(F.col("n") == n, F.lit(max(1, spoiled(n, least)))).otherwise(acc), sizes, F.lit(1))
     last = F.greatest(F.size("w") - F.col("size"), F.lit(0))
     hits = hits.join(near(seeds), "h").withColumn("start", F.explode(F.array_distinct(F.transform(F.sequence(-shift, shift), lambda d: F.least(F.greatest(F.col("at") - F.col("off") + d, F.lit(0)), last)))))
     windows = hits.select("id", "start", "size", F.array_join(F.slice("w", F.col("start") + 1, F.col("size")), " ").alias("t"))
     windows = checkpointed(windows.groupBy("id", "start", "size", "t").agg(F.lit(1).alias("one")).drop("one"))
-    text = windows.select("size", "t").distinct().withColumn("tw", F.split("t", " "))
-    text = checkpointed(text.withColumn("fp", simhash(hashes(F.col("tw"), shingle))))
+    text = checkpointed(windows.select("size", "t").distinct().withColumn("tw", F.split("t", " ")))
+    text = checkpointed(text.select("size", "t", hashes(F.col("tw"), shingle).alias("hs"), grams(F.col("tw"), shingle).alias("g")))
+    text = checkpointed(text.select("size", "t", "g", simhash(F.col("hs")).alias("fp")))
 
     masks = [signed(m) for m in parts((1 << 64) - 1, radius + 1)]
 
@@ -134,8 +136,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
     met = blocks(text.select("size", "t", "fp")).join(near(blocks(item.select("item", "size", "fp")).withColumnRenamed("fp", "item_fp")), ["size", "i", "v"])
     met = met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("t", "size", "item").distinct()
-    met = met.join(near(item.select("item", "size", F.col("w").alias("item_w"))), ["item", "size"])
-    met = met.withColumn("similarity", similarity(grams(F.split("t", " "), shingle), grams(F.col("item_w"), shingle))).where(F.col("similarity") >= least)
+    met = met.join(text.select("t", "size", "g"), ["t", "size"]).join(near(item.select("item", "size", F.col("g").alias("item_g"))), ["item", "size"])
+    met = checkpointed(met.select("t", "size", "item", similarity(F.col("g"), F.col("item_g")).alias("similarity"))).where(F.col("similarity") >= least)
     best = windows.join(met.select("t", "size", "item", "similarity"), ["t", "size"]).groupBy("id", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b")
     )
