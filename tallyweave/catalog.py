@@ -9,7 +9,7 @@ QUERIES = {
     "ingest_profile": p.profile, "clean_text": p.cleaned, "street_canon": p.streets, "legal_suffix": p.suffixes, "exact_key_pairs": p.channel("exact"), "rare_token_pairs": p.channel("rare"),
     "tfidf_topk_name": p.channel("tfidf"), "candidate_union_cap": p.candidates, "context_features": p.contextual, "set_similarity_features": p.similarities, "stub_scores": p.scored,
     "unique_claims": p.claims, "prefix_decisions": p.decisions, "prefix_matches": p.matches, "id_lists": p.match_lists, "macro_f05": p.evaluated, "f05_breakdown": p.evaluation,
-    "hard_negatives": p.negatives, "calibration_bins": p.calibration, "threshold_rule": p.thresholds, "cap_sweep": p.sweep, "end_to_end_stub": p.end_to_end,
+    "hard_negatives": p.negatives, "calibration_bins": p.calibration, "threshold_rule": p.thresholds, "cap_sweep": p.sweep, "edit_similarity": p.edits, "fold_accents": p.folds, "stratified_quota": p.stratified, "submission_violations": p.submission, "end_to_end_stub": p.end_to_end,
 }
 
 W = r"regexp_extract_all(coalesce(text, ''), '[^\s]+')"
@@ -140,5 +140,15 @@ ORACLES = {
     "cap_sweep": f"""WITH {CANDS}, {TRUTH}, s2 AS (SELECT c.*, row_number() OVER (PARTITION BY c.source1_entity_id ORDER BY prior_score DESC, n_channels DESC, best_rank, c.candidate_entity_id) AS sl, t.source1_entity_id IS NOT NULL AS label
       FROM cands c LEFT JOIN truth t ON t.source1_entity_id = c.source1_entity_id AND t.candidate_entity_id = c.candidate_entity_id)
       SELECT cap, count_if(sl <= cap) AS pairs, count_if(sl <= cap AND label) AS found FROM s2, (SELECT unnest([1, 2, 3, 5, 10, 30]) AS cap) GROUP BY cap""",
+    "edit_similarity": "SELECT p_partkey, round(jaro_winkler_similarity(lower(p_name), lower(p_type)), 6) AS jaro_winkler FROM part",
+    "fold_accents": f"WITH {REC} SELECT entity_id, strip_accents(replace(replace(replace(business_name, 'œ', 'oe'), 'æ', 'ae'), 'ß', 'ss')) AS name_ascii FROM rec",
+    "stratified_quota": f"""WITH {REC}, c AS (SELECT country, count(*) AS n FROM norm WHERE entity_id LIKE 'S1-%' GROUP BY ALL), t AS (SELECT *, sum(n) OVER () AS a FROM c),
+      b AS (SELECT *, (100 * n // a)::BIGINT AS base, (100 * n) % a AS r FROM t), q AS (SELECT *, 100 - sum(base) OVER () AS rest, row_number() OVER (ORDER BY r DESC, country) AS nth FROM b)
+      SELECT country, n, CASE WHEN a <= 100 THEN n ELSE base + CASE WHEN nth <= rest THEN 1 ELSE 0 END END::BIGINT AS quota FROM q""",
+    "submission_violations": f"""WITH {REC}, {EXACT}, {TFIDF}, m AS (SELECT source1_entity_id, candidate_entity_id FROM exact)
+      SELECT 'unknown query id' AS rule, * FROM m WHERE source1_entity_id NOT IN (SELECT entity_id FROM norm WHERE entity_id LIKE 'S1-%' AND country <> 'es')
+      UNION ALL SELECT 'unknown pool id', * FROM m WHERE candidate_entity_id NOT IN (SELECT entity_id FROM norm WHERE entity_id NOT LIKE 'S1-%' AND country <> 'fr')
+      UNION ALL SELECT 'no candidate', m.* FROM m ANTI JOIN tfidf USING (source1_entity_id, candidate_entity_id)
+      UNION ALL SELECT 'matched twice', * FROM m WHERE candidate_entity_id IN (SELECT candidate_entity_id FROM m GROUP BY 1 HAVING count(*) > 1)""",
     "end_to_end_stub": f"WITH {CANDS}, {STUB}, {claim('stub')}, {PREFIX} SELECT source1_entity_id, candidate_entity_id, round(prob, 6) AS prob FROM pd WHERE pos <= m_star",
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.functions import text
-from tallyweave.operators import blocking, matching
+from tallyweave.functions import kernels, text
+from tallyweave.operators import blocking, checks, matching
 from tallyweave.sources import records
 
 FAMILIES = [["name_norm"], ["name_acronym", "addr_norm"]]
@@ -136,6 +136,28 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.cap_sweep(candidates(spark, sf_dir), truth(spark, sf_dir), CAPS)
 
 
+def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit similarities of each part's name and brand, which are ASCII."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.lower("p_name").alias("a"), F.lower("p_type").alias("b"))
+    return part.select("p_partkey", F.round(kernels.jaro_winkler(F.col("a"), F.col("b")), 6).alias("jaro_winkler"))
+
+
+def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records.doc_records(spark, sf_dir)
+    return rows.select("entity_id", kernels.fold_accents(F.col("business_name")).alias("name_ascii"))
+
+
+def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.quotas(norm(spark, sf_dir).where("entity_id like 'S1-%'"), 100)
+
+
+def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact-key pairs checked as matches against the TF-IDF candidates."""
+    s1, pool = records.sides(norm(spark, sf_dir))
+    ids = s1.where(F.col("country") != "es").withColumnRenamed("entity_id", "source1_entity_id")
+    return checks.violations(ids, pool.where(F.col("country") != "fr"), channel("tfidf")(spark, sf_dir), channel("exact")(spark, sf_dir))
+
+
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final matches of the documents' records: blocking, stub scores, one owner each, best prefix."""
     rows = matching.prefix_search(matching.unique_claims(scored(spark, sf_dir)))

@@ -101,3 +101,11 @@ def test_result_does_not_depend_on_partitions(spark):
         found.append(Counter(map(tuple, catalog.QUERIES["end_to_end_stub"](spark, SF).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_kernels():
+    from tallyweave.functions import kernels as k
+
+    assert k.lcs_ratio("", "a") == 0 and k.lcs_ratio("abc", "abc") == 1 and k.lcs_ratio("abcd", "abxd") == 0.75 and k.lcs_ratio("ab", "cd") == 0
+    assert round(k.jaro_winkler_of("martha", "marhta"), 4) == 0.9611 and k.jaro_winkler_of("", "") == 0 and k.jaro_winkler_of("abc", "abc") == 1
+    assert k.folded("Cœur Straße Øl é ñ") == "Coeur Strasse Øl e n".replace("Ø", k.LETTERS.get("Ø", "Ø"))
