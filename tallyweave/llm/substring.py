@@ -206,7 +206,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     # Long prefixes: equal surroundings are one class, of which all but the first repeat; the first ones of the classes meet window by window.
     place = F.struct(F.col("id").isNull().alias("late"), F.col("id").alias("id"), F.col("start").alias("start"))
     large = suffixes.where("large").withColumn("place", place)
-    first = large.groupBy("k1", "k2").agg(F.min("place").alias("first"))
+    # Written, so that the join takes both sides from plain exchanges and Spark can split a hot class.
+    first = checkpointed(large.groupBy("k1", "k2").agg(F.min("place").alias("first")))
     classes = checkpointed(large.join(first, ["k1", "k2"]).select("k1", "k2", "id", "th", "start", "n", "place", "first", F.when(F.col("place") == F.col("first"), F.col("words")).alias("words")))
     copies = classes.where("place > first").select("id", "th", "start", "n")
 
@@ -224,9 +225,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
     own = checkpointed(classes.where("place = first").select("id", "th", "start", "n", "words").mapInArrow(windows, f"id {kind}, th long, start int, key binary"))
     placed = own.withColumn("place", place)
-    met = placed.join(placed.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("c")).where("c > 1"), "key")
+    again = checkpointed(placed.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("c")).where("c > 1"))
+    met = placed.join(again, "key")
     out = checkpointed(found.union(copies).union(met.where("place > first").select("id", "th", "start", F.lit(1).alias("n"))))
-    for done in (found, suffixes, classes, own):
+    for done in (found, suffixes, first, classes, own, again):
         discard(done)
     return out
 
