@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,13 +43,12 @@ def grams_of(text: str, upto: int = 3) -> list[str]:
 
 @dataclass
 class Model:
-    """weights: n-gram to a weight for each family; bias likewise; unknown: the score that the unknown class has; cues: words of which every known paragraph has one."""
+    """weights: n-gram to a weight for each family; bias likewise; unknown: the score that the unknown class has."""
 
     families: list[str]
     weights: dict[str, list[float]]
     bias: list[float]
     unknown: float
-    cues: list[str]
 
 
 def train(others: list[str], steps: int = 400, ridge: float = 1e-3) -> Model:
@@ -80,16 +78,26 @@ def train(others: list[str], steps: int = 400, ridge: float = 1e-3) -> Model:
     z = (x @ w)[:, :-1]
     right = min(z[i, c] for i, c in enumerate(y) if c < len(families))
     wrong = max([z[i].max() for i, c in enumerate(y) if c == len(families)], default=right - 1)
-    # A cue is a word of a template that no other paragraph has; a template without one brings in its rarest word.
-    seen = {a for t, c in texts if c == len(families) for a in WORD.findall(t.lower())}
-    count = Counter(a for t, c in texts if c < len(families) for a in set(WORD.findall(t.lower())))
-    cues: set[str] = set()
-    for t, c in texts:
-        own = WORD.findall(t.lower())
-        if c < len(families):
-            good = [a for a in own if a not in seen and len(a) > 2] or sorted(own, key=lambda a: (count[a], -len(a)))[:1]
-            cues.add(max(good, key=lambda a: (count[a], a))) if not cues & set(own) else None
-    return Model(families, {g: [float(v) for v in w[i, :-1]] for g, i in index.items()}, [float(v) for v in w[-1, :-1]], float((right + wrong) / 2), sorted(cues))
+    return Model(families, {g: [float(v) for v in w[i, :-1]] for g, i in index.items()}, [float(v) for v in w[-1, :-1]], float((right + wrong) / 2))
+
+
+def cues(model: Model, floor: float) -> list[str]:
+    """Words of which every paragraph that scores over floor in any family has one.
+
+    Each n-gram's positive weight goes to one of its words, so a paragraph scores at most the bias and
+    what its words hold. Words that together can't lift any family over floor are no cues.
+    """
+    held: dict[str, np.ndarray] = {}
+    for g, v in model.weights.items():
+        word = max(g.split(), key=lambda a: (len(a), a))
+        held[word] = held.get(word, 0) + np.maximum(v, 0)
+    total, out = np.array(model.bias), []
+    for word in sorted(held, key=lambda a: (held[a].max(), a)):
+        if (total + held[word] <= floor - 1e-6).all():
+            total = total + held[word]
+        else:
+            out.append(word)
+    return out if (np.array(model.bias) <= floor - 1e-6).all() else []
 
 
 def words_in(paragraph: Column) -> Column:
@@ -106,8 +114,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
 
     probability is against the calibrated unknown class; template is the family's statement of which
     most bigrams (words, for one word) stand in the paragraph, similarity their share, confirmed
-    whether that is least or more. Paragraphs without a cue of the model are unknown and give no row,
-    like null and empty texts. Rows that repeat an id each give their rows. The model and the templates
+    whether that is least or more. Paragraphs without a cue can't score over the unknown class and give
+    no row, like null and empty texts. Rows that repeat an id each give their rows. The model and the templates
     are constants of fixed size, so their tables are broadcast; only paragraphs with a cue are shuffled.
     """
     spark = docs.sparkSession
@@ -118,7 +126,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     model = train([x for x in dict.fromkeys(lines) if (g := set(grams_of(x, 2))) and all(len(g & k) < 0.5 * len(k) for k in known)][:2000])
     n = len(model.families)
 
-    cue = F.lit("(?<![a-z0-9])(" + "|".join(model.cues) + ")(?![a-z0-9])")
+    words = cues(model, model.unknown)
+    cue = F.lit("(?<![a-z0-9])(?:" + "|".join(words) + ")(?![a-z0-9])" if words else "")
     text = F.col(text_col)
     hit = docs.where(F.rlike(lower_ascii(text), cue)).select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("paragraph", "t"))
     hit = hit.where(F.rlike(lower_ascii("t"), cue)).withColumn("w", words_in(F.col("t"))).withColumn("row", F.monotonically_increasing_id())

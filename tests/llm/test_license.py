@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyweave.llm import license as lic
@@ -14,3 +17,18 @@ def test_families_held_out_and_odd_rows(spark):
     want = {(i, f) for i, _, f in rows + odd if f}
     assert got == want, (got - want, want - got)
     assert lic.scan(df.limit(0)).count() == 0
+
+
+def test_gate_loses_no_paragraph():
+    rnd = random.Random(3)
+    model = lic.train([])
+    words = sorted({a for g in model.weights for a in g.split()})
+    have = set(lic.cues(model, model.unknown))
+    lines = ["MIT License", "Apache License, Version 2.0, January 2004", "Distributed under the MIT license", "Available under the Apache 2.0 license", *(" ".join(rnd.choices(words, k=rnd.randint(1, 30))) for _ in range(3000))]
+    passed = 0
+    for t in lines:
+        z = np.array(model.bias) + sum((np.array(model.weights[g]) for g in lic.grams_of(t) if g in model.weights), np.zeros(len(model.bias)))
+        if z.max() > model.unknown:
+            passed += 1
+            assert have & set(lic.WORD.findall(t.lower())), t
+    assert passed > 100
