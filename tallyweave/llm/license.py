@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import lower_ascii, table
+from tallyweave.llm.common import checkpointed, lower_ascii, table
 
 #: Statements of each family: what the classifier learns from and what predictions are compared with.
 TEMPLATES = {
@@ -32,8 +32,9 @@ OTHERS = [
     "She works at the MIT in Boston.", "The Apache people lived in the southwest.", "Creative people share work in common rooms.", "Attribution of the painting is unclear.", "The file was released under pressure.",
 ]
 WORD = re.compile(r"[a-z0-9]+")
-#: Rows of the corpus, at most, that train the unknown class besides the paragraphs above.
-SAMPLE = 300
+#: Of all paragraphs that hold less than LITTLE of any template, so many with the highest scores train the
+#: unknown class in each of so many rounds; then all of them calibrate its score.
+HARDEST, ROUNDS, LITTLE = 200, 1, 0.25
 
 
 def grams_of(text: str, upto: int = 3) -> list[str]:
@@ -43,27 +44,31 @@ def grams_of(text: str, upto: int = 3) -> list[str]:
 
 @dataclass
 class Model:
-    """weights: n-gram to a weight for each family; bias likewise; unknown: the score that the unknown class has."""
+    """weights: n-gram to a weight for each family; bias likewise; unknown: the score that the unknown class has; right: the lowest right score of a template; wrong: the highest of any other paragraph of training."""
 
     families: list[str]
     weights: dict[str, list[float]]
     bias: list[float]
     unknown: float
+    right: float
+    wrong: float
 
 
-def train(others: list[str], steps: int = 400, ridge: float = 1e-3) -> Model:
-    """Multinomial logistic regression over 1- to 3-grams of the templates, against OTHERS and these paragraphs as the unknown class.
+def unknown_score(right: float, wrong: float) -> float:
+    """Midway, or where the two aren't apart just below the templates."""
+    return (right + wrong) / 2 if wrong < right else right - 1e-6
 
-    The unknown score is calibrated to lie midway between the lowest right score of a template and the
-    highest family score of any other paragraph, if they are apart.
+
+def train(others: list[list[str]], steps: int = 400, ridge: float = 1e-3) -> Model:
+    """Multinomial logistic regression over 1- to 3-grams of the templates, against OTHERS and these paragraphs (their n-grams) as the unknown class.
     """
     families = sorted(TEMPLATES)
-    texts = [(t, families.index(f)) for f in families for t in TEMPLATES[f]] + [(t, len(families)) for t in [*OTHERS, *others]]
-    vocabulary = sorted({g for t, y in texts if y < len(families) for g in grams_of(t)})
+    texts = [(grams_of(t), families.index(f)) for f in families for t in TEMPLATES[f]] + [(g, len(families)) for g in [*map(grams_of, OTHERS), *others]]
+    vocabulary = sorted({g for t, y in texts if y < len(families) for g in t})
     index = {g: i for i, g in enumerate(vocabulary)}
     x = np.zeros((len(texts), len(vocabulary) + 1), np.float64)
     for i, (t, _) in enumerate(texts):
-        x[i, [index[g] for g in grams_of(t) if g in index]] = 1
+        x[i, [index[g] for g in t if g in index]] = 1
     x[:, -1] = 1
     y = np.array([c for _, c in texts])
     weight = 1 / np.maximum(1, np.bincount(y, minlength=len(families) + 1))[y]
@@ -76,9 +81,9 @@ def train(others: list[str], steps: int = 400, ridge: float = 1e-3) -> Model:
         w -= 2.0 * (x.T @ (p * weight[:, None]) / len(families) + ridge * w)
     w -= w[:, -1:]  # scores relative to the unknown class
     z = (x @ w)[:, :-1]
-    right = min(z[i, c] for i, c in enumerate(y) if c < len(families))
-    wrong = max([z[i].max() for i, c in enumerate(y) if c == len(families)], default=right - 1)
-    return Model(families, {g: [float(v) for v in w[i, :-1]] for g, i in index.items()}, [float(v) for v in w[-1, :-1]], float((right + wrong) / 2))
+    right = float(min(z[i, c] for i, c in enumerate(y) if c < len(families)))
+    wrong = float(max(z[i].max() for i, c in enumerate(y) if c == len(families)))
+    return Model(families, {g: [float(v) for v in w[i, :-1]] for g, i in index.items()}, [float(v) for v in w[-1, :-1]], unknown_score(right, wrong), right, wrong)
 
 
 def cues(model: Model, floor: float) -> list[str]:
@@ -109,40 +114,62 @@ def word_grams(words: Column, n: int) -> Column:
     return F.when(last < 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(words, i + 1, n), " ")))
 
 
+def parts_of(template: str) -> list[str]:
+    return [g for g in grams_of(template, 2) if " " in g] or grams_of(template, 1)
+
+
+def scored(texts: DataFrame, model: Model, floor: float) -> DataFrame:
+    """(id, paragraph, row, known: its n-grams that the model knows, so all that templates have, f0 ..., best) of all paragraphs of texts (id, text) that score over floor in any family."""
+    n, words = len(model.families), cues(model, floor)
+    cue = F.lit("(?<![a-z0-9])(?:" + "|".join(words) + ")(?![a-z0-9])" if words else "")
+    hit = texts.where(F.rlike(lower_ascii("text"), cue)).select("id", F.posexplode(F.split("text", "\n")).alias("paragraph", "t"))
+    hit = hit.where(F.rlike(lower_ascii("t"), cue)).withColumn("w", words_in(F.col("t"))).withColumn("row", F.monotonically_increasing_id())
+    grams = F.array_intersect(F.concat(*[word_grams(F.col("w"), k) for k in (1, 2, 3)]), F.lit(sorted(model.weights)))
+    weights = F.broadcast(texts.sparkSession.createDataFrame([(g, *v) for g, v in model.weights.items()], "g string, " + ", ".join(f"f{i} double" for i in range(n))))
+    # Only the known n-grams are exploded and shuffled, never the words of a paragraph.
+    out = hit.select("id", "paragraph", "row", F.explode(grams).alias("g")).join(weights, "g").groupBy("id", "paragraph", "row")
+    out = out.agg(F.collect_list("g").alias("known"), *[(F.round(F.sum(f"f{i}"), 9) + F.lit(model.bias[i])).alias(f"f{i}") for i in range(n)])
+    return out.withColumn("best", F.greatest(*[F.col(f"f{i}") for i in range(n)])).where(F.col("best") > floor)
+
+
+def little(found: DataFrame) -> DataFrame:
+    """Those of found that hold less than LITTLE of every template."""
+    parts = [parts_of(t) for ts in TEMPLATES.values() for t in ts]
+    return found.where(F.greatest(*[F.size(F.array_intersect(F.lit(p), F.col("known"))) / F.lit(len(p)) for p in parts]) < LITTLE)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """(id_col, paragraph, family, probability, template, similarity, confirmed): paragraphs (lines, from 0) in which the classifier sees a licence family.
 
     probability is against the calibrated unknown class; template is the family's statement of which
     most bigrams (words, for one word) stand in the paragraph, similarity their share, confirmed
     whether that is least or more. Paragraphs without a cue can't score over the unknown class and give
-    no row, like null and empty texts. Rows that repeat an id each give their rows. The model and the templates
+    no row, like null and empty texts. Rows that repeat an id each give their rows. The unknown class learns from the hardest of all
+    paragraphs that hold little of any template, and all of those calibrate its score. The model and the templates
     are constants of fixed size, so their tables are broadcast; only paragraphs with a cue are shuffled.
     """
-    spark = docs.sparkSession
-    few = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE).collect()
-    known = [set(grams_of(t, 2)) for ts in TEMPLATES.values() for t in ts]
-    lines = [x for r in few for x in r["t"].split("\n")[:20]]
-    # Lines of the corpus that hold most of a template may be licences themselves and don't train the unknown class.
-    model = train([x for x in dict.fromkeys(lines) if (g := set(grams_of(x, 2))) and all(len(g & k) < 0.5 * len(k) for k in known)][:2000])
-    n = len(model.families)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    others: list[list[str]] = []
+    model = train(others)
+    for _ in range(ROUNDS):
+        hard = checkpointed(little(scored(texts, model, model.wrong)).groupBy(F.array_sort("known").alias("known")).agg(F.max("best").alias("best")))
+        new = [r["known"] for r in hard.orderBy(F.desc("best"), F.array_join("known", "|")).limit(HARDEST).collect()]
+        if not new:
+            break
+        others += new
+        model = train(others)
+    # No paragraph at or below the highest wrong score of training can raise the unknown score or pass it.
+    found = checkpointed(scored(texts, model, min(model.wrong, model.right - 1e-6)))
+    highest = little(found).agg(F.max("best")).first()[0]
+    unknown = unknown_score(model.right, model.wrong if highest is None else max(model.wrong, highest))
 
-    words = cues(model, model.unknown)
-    cue = F.lit("(?<![a-z0-9])(?:" + "|".join(words) + ")(?![a-z0-9])" if words else "")
-    text = F.col(text_col)
-    hit = docs.where(F.rlike(lower_ascii(text), cue)).select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("paragraph", "t"))
-    hit = hit.where(F.rlike(lower_ascii("t"), cue)).withColumn("w", words_in(F.col("t"))).withColumn("row", F.monotonically_increasing_id())
-    grams = F.array_distinct(F.concat(*[word_grams(F.col("w"), k) for k in (1, 2, 3)]))
-    weights = F.broadcast(spark.createDataFrame([(g, *v) for g, v in model.weights.items()], "g string, " + ", ".join(f"f{i} double" for i in range(n))))
-    scored = hit.select("id", "paragraph", "row", "w", F.explode(grams).alias("g")).join(weights, "g")
-    scored = scored.groupBy("id", "paragraph", "row", "w").agg(*[(F.round(F.sum(f"f{i}"), 9) + F.lit(model.bias[i])).alias(f"f{i}") for i in range(n)])
-    best = F.greatest(*[F.col(f"f{i}") for i in range(n)])
-    total = sum((F.exp(F.col(f"f{i}") - F.col("best")) for i in range(n)), F.exp(F.lit(model.unknown) - F.col("best")))
+    n = len(model.families)
+    total = sum((F.exp(F.col(f"f{i}") - F.col("best")) for i in range(n)), F.exp(F.lit(unknown) - F.col("best")))
     family = F.coalesce(*[F.when(F.col(f"f{i}") == F.col("best"), F.lit(name)) for i, name in enumerate(model.families)])
-    named = scored.withColumn("best", best).where(F.col("best") > model.unknown).select("id", "paragraph", "row", "w", family.alias("family"), (1 / total).alias("probability"))
-    rows = [(f, t, [g for g in grams_of(t, 2) if " " in g] or grams_of(t, 1)) for f, ts in TEMPLATES.items() for t in ts]
-    templates = F.broadcast(spark.createDataFrame(rows, "family string, template string, parts array<string>"))
-    both = F.concat(word_grams(F.col("w"), 1), word_grams(F.col("w"), 2))
-    compared = named.join(templates, "family").withColumn("similarity", F.size(F.array_intersect("parts", both)) / F.size("parts"))
+    named = found.where(F.col("best") > unknown).select("id", "paragraph", "row", "known", family.alias("family"), (1 / total).alias("probability"))
+    rows = [(f, t, parts_of(t)) for f, ts in TEMPLATES.items() for t in ts]
+    templates = F.broadcast(docs.sparkSession.createDataFrame(rows, "family string, template string, parts array<string>"))
+    compared = named.join(templates, "family").withColumn("similarity", F.size(F.array_intersect("parts", "known")) / F.size("parts"))
     top = compared.groupBy("id", "paragraph", "row", "family", "probability").agg(F.max(F.struct("similarity", "template")).alias("m"))
     return top.select(F.col("id").alias(id_col), "paragraph", "family", "probability", F.col("m.template").alias("template"), F.col("m.similarity").alias("similarity"), (F.col("m.similarity") >= least).alias("confirmed"))
 

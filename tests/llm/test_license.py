@@ -32,3 +32,9 @@ def test_gate_loses_no_paragraph():
             passed += 1
             assert have & set(lic.WORD.findall(t.lower())), t
     assert passed > 100
+
+
+def test_lines_that_are_no_templates(spark):
+    want = [("Apache License, Version 2.0, January 2004", "Apache-2.0"), ("Distributed under the MIT license", "MIT"), ("Available under the Apache 2.0 license", "Apache-2.0"), ("MIT License", "MIT")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)] + [(100 + i, t) for i, t in enumerate(lic.OTHERS)], "doc_id long, text string")
+    assert {(r.doc_id, r.family) for r in lic.scan(df).collect()} == {(i, f) for i, (_, f) in enumerate(want)}
