@@ -22,12 +22,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset (one machine, tests) a new local one."""
-    conf = spark.sparkContext.getConf()
-    if found := conf.get("spark.checkpoint.dir"):
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a new local one for each application if it runs on one machine, as in tests; on a cluster that is an error."""
+    if found := spark.sparkContext.getConf().get("spark.checkpoint.dir"):
         return found.rstrip("/")
-    cache = process_cache("dirs")
-    return cache.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tallyweave-"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    cache, name = process_cache("dirs"), spark.sparkContext.applicationId
+    if name not in cache:
+        cache[name] = "file://" + tempfile.mkdtemp(prefix="tallyweave-")
+    return cache[name]
 
 
 #: Spark removes the shuffle files of a query as soon as it ends.
@@ -35,25 +38,34 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df through a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing. Its shuffle files go once it is written."""
+    """df through a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing. Its shuffle files go once it is written; the session keeps that setting."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallyweave-work/{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Removes the files of a checkpointed table that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._work_path)
-    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of checkpointed tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._work_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's whole URI: one without a scheme is in Spark's default file system, as for Spark's own readers."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
+def file_system(uri: str):
+    """The file system of a whole URI, and the path in it; executors reach it as well as the driver."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri("file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
 
 
 def share(spark: SparkSession, value) -> Callable:
@@ -99,7 +111,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b): root is the smallest node of its connected component.
 
     Alternates large-star and small-star steps; each is an aggregation with map-side combine and a
-    join, and no node's neighbours are ever held together. No edges: no rows. Null ends are dropped.
+    join, and no node's neighbours are ever held together. The least neighbours are written before they
+    are joined, so that Spark can split the root of a giant component. No edges: no rows. Null ends are
+    dropped, loops and repeated edges change nothing.
     """
     spark = edges.sparkSession
     a, b = F.col("a"), F.col("b")
@@ -111,13 +125,16 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = now
         both = star.union(star.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.min(F.least(a, b)).alias("m"))
+        least = checkpointed(both.groupBy("a").agg(F.min(F.least(a, b)).alias("m")))
         large = both.where(b > a).join(least, "a").select(b.alias("a"), F.col("m").alias("b")).union(
             star.join(least, "a").select(F.col("a"), F.col("m").alias("b"))
         ).where(F.col("a") != F.col("b")).distinct()
         large = checkpointed(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        star = checkpointed(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        near = checkpointed(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(near, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        old, star = star, checkpointed(small.union(near.select("a", F.col("m").alias("b"))).distinct())
+        discard(old, least, large, near)
     roots = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return checkpointed(roots.union(star.select(F.col("b"), F.col("b"))).distinct()) if state else spark.createDataFrame([], roots.schema)
+    out = checkpointed(roots.union(star.select(F.col("b"), F.col("b"))).distinct()) if state else spark.createDataFrame([], roots.schema)
+    discard(star)
+    return out
