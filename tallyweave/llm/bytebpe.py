@@ -1,4 +1,4 @@
-"""Byte-level BPE: encoding with the tokenizers library over Arrow batches, decoding by the reversed byte table."""
+"""Byte-level BPE: encoding with the tokenizers library over Arrow batches, offsets, and decoding by the byte table the other way round."""
 
 from __future__ import annotations
 
@@ -76,11 +76,13 @@ class Codec:
         self.find_any = regex.compile(pattern).findall
         self.find_basic = basic_plane(pattern) or self.find_any
         self.chars = {b: c for b, c in enumerate(chars)}
+        self.back = {ord(c): b for b, c in enumerate(chars)}
         size = max(ranks.values(), default=-1) + 1
-        self.token_bytes = [b""] * size
+        #: The characters that stand for the bytes of each id.
+        self.shown = [""] * size
         for token, rank in ranks.items():
-            self.token_bytes[rank] = token
-        self.lengths = np.fromiter(map(len, self.token_bytes), np.int64, size)
+            self.shown[rank] = shown[token]
+        self.lengths = np.fromiter(map(len, self.shown), np.int64, size)
         self.forget()
 
     def forget(self) -> None:
@@ -123,14 +125,17 @@ class Codec:
         return self.flat[np.repeat(self.first[index] - (ends - count), count) + np.arange(total)]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word (no spaces in it) after a space."""
-        if not words:
-            return []
-        found, index = self.pieces(" " + " ".join(words))
-        ids, count = self.ids(index).tolist(), np.cumsum(self.count[index])
-        # Words hold no space, so a piece that begins with one begins a word.
-        cuts = [0 if i == 0 else int(count[i - 1]) for i, x in enumerate(found) if x[0] == " "]
-        return [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+        """The ids of each word (no ASCII spaces in it) after a space; each word by itself, whatever stands beside it."""
+        # A piece can reach over words only through other spaces than ASCII ones; str.split knows all of them.
+        odd = {w for w in words if w.split() != [w]}
+        out = {w: self.encode(" " + w).tolist() for w in odd}
+        plain = [w for w in words if w not in odd]
+        if plain:
+            found, index = self.pieces(" " + " ".join(plain))
+            ids, count = self.ids(index).tolist(), np.cumsum(self.count[index])
+            cuts = [0 if i == 0 else int(count[i - 1]) for i, x in enumerate(found) if x[0] == " "]
+            out |= {w: ids[a:b] for w, a, b in zip(plain, cuts, [*cuts[1:], len(ids)], strict=True)}
+        return [out[w] for w in words]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First character and character after the last of each id. A character split over ids belongs to each of them."""
@@ -142,11 +147,15 @@ class Codec:
         return char[end - self.lengths[ids]].astype(np.int32), (char[end - 1] + 1).astype(np.int32)
 
     def decode(self, ids) -> bytes:
-        """The bytes of the ids; an id without a token raises IndexError."""
+        """The bytes of the ids: the characters of each id, through the byte table the other way round. An id without a token raises IndexError."""
         ids = np.asarray(ids, np.int64)
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.token_bytes)):
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.shown) or not self.lengths[ids].all()):
             raise IndexError("an id has no token")
-        return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
+        return "".join(map(self.shown.__getitem__, ids.tolist())).translate(self.back).encode("latin-1")
+
+    def split_characters(self, start: np.ndarray, end: np.ndarray) -> int:
+        """How many characters are split over several ids, by the ids' offsets: those that an id shares with the one before."""
+        return len(np.unique(start[1:][start[1:] < end[:-1]]))
 
 
 def codec(ranks: dict[bytes, int], pattern: str, name: str) -> Codec:
@@ -206,25 +215,30 @@ def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_c
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, n_tokens, ids_sha256, decoded_sha256, same (the decoded bytes are the text's): encode and decode in one pass, in which only digests leave the worker.
+    """id_col, n_tokens, ids_sha256, decoded_sha256, offsets_sha256 (first and last character + 1 of each id, little-endian int32), n_split (characters split over ids), same (the decoded bytes are the text's).
 
-    Null texts count as empty.
+    Encoding, offsets and decoding are those of encode and decode, in one pass of which only digests
+    leave the worker. Null texts count as empty; each row gives one row, also null and repeated ids; an
+    empty table gives none. Other columns are left out.
     """
     shared, pattern, name = _shared(df.sparkSession, path, pattern)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern, name)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
                 ids = own.encode(text or "")
+                start, end = own.offsets(text or "", ids)
                 back = own.decode(ids)
-                rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(back).hexdigest(), back == (text or "").encode()))
-            n, a, b, same = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.array(same)], ["id", "n_tokens", "ids_sha256", "decoded_sha256", "same"])
+                rows.append((len(ids), sha(ids.astype("<u4").tobytes()), sha(back), sha(np.stack([start, end]).astype("<i4").tobytes()), own.split_characters(start, end), back == (text or "").encode()))
+            n, a, b, o, s, same = zip(*rows, strict=True) if rows else [()] * 6
+            columns = [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(o, pa.string()), pa.array(s, pa.int32()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256", "n_split", "same"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return text_map(df, [id_col, text_col], work, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean").withColumnRenamed("id", id_col)
+    return text_map(df, [id_col, text_col], work, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string, n_split int, same boolean").withColumnRenamed("id", id_col)
 
 
 def op1_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
