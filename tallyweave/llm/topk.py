@@ -11,6 +11,10 @@ from tallyweave.llm.common import checkpointed, table
 
 #: Vectors of a shard, queries of a block, vectors of a leaf.
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 16384, 64
+#: Scores beyond the long range count as its ends.
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
+#: Bounds are widened by this share of the norms they come from, many times the rounding of a dot product.
+SLACK = 1e-9
 
 
 class Ball:
@@ -19,7 +23,8 @@ class Ball:
     def __init__(self, x: np.ndarray, rows: np.ndarray) -> None:
         own = x[rows]
         self.center = own.mean(axis=0)
-        self.radius = float(np.sqrt(((own - self.center) ** 2).sum(axis=1).max())) + 1e-6
+        self.radius = float(np.sqrt(((own - self.center) ** 2).sum(axis=1).max()))
+        self.reach = float(np.sqrt((self.center**2).sum())) + self.radius
         self.rows, self.children = rows, ()
         if len(rows) > LEAF_ROWS:
             far = own[((own - self.center) ** 2).sum(axis=1).argmax()]
@@ -29,47 +34,63 @@ class Ball:
             self.children = (Ball(x, rows[order[:half]]), Ball(x, rows[order[half:]]))
 
 
+def integer_score(a: np.ndarray, b: np.ndarray) -> int:
+    """The inner product of vectors of whole numbers, without rounding, within the long range."""
+    return max(LOW, min(HIGH, sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist(), strict=True))))
+
+
 def search(q: np.ndarray, q_ids: np.ndarray, known: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, id, score) of the k best rows of x for each row of q, ties to smaller ids; fewer where known, a kth score found elsewhere, rules rows out.
+    """(query id, id, score) of the k best rows of x for each row of q, ties to smaller ids; fewer where known, a kth score found elsewhere (LOW: none), rules rows out.
 
-    A row with the query's own id is no candidate. A node is entered only with the queries whose bound
-    q.c + |q| r reaches their kth score; the child with the higher bounds comes first.
+    q and x hold whole numbers. A row with the query's own id is no candidate. A node is entered only
+    with the queries whose bound q.c + |q| r reaches their kth score; the child with the higher bounds
+    comes first. Where products may pass 2**53, both sides are scaled for the bounds, and what is
+    within their slack is scored anew in Python's integers.
     """
-    norms = np.sqrt((q * q).sum(axis=1))
+    if not len(x) or not len(q):
+        return []
+    most = [max(1.0, float(np.abs(m).max(initial=0))) for m in (q, x)]
+    large = not q.shape[1] * most[0] * most[1] <= 2.0**53
+    scale = most if large else [1.0, 1.0]
+    a, y = q / scale[0], x / scale[1]
+    norms = np.sqrt((a * a).sum(axis=1))
     best: list[list[tuple[int, int]]] = [[] for _ in q]  # (-score, id), sorted
-    kth = known.astype(float).copy()
+    floor = np.array([-np.inf if v <= LOW else v / scale[0] / scale[1] for v in map(int, known)])
 
     def bound(node: Ball, rows: np.ndarray) -> np.ndarray:
-        return q[rows] @ node.center + norms[rows] * node.radius + 1e-6
+        return a[rows] @ node.center + norms[rows] * (node.radius + SLACK * node.reach)
 
     def enter(node: Ball, rows: np.ndarray) -> None:
-        rows = rows[bound(node, rows) >= kth[rows]]
+        rows = rows[bound(node, rows) >= floor[rows]]
         if not len(rows):
             return
         if node.children:
             for child in sorted(node.children, key=lambda c: -bound(c, rows).mean()):
                 enter(child, rows)
             return
-        scores = q[rows] @ x[node.rows].T
-        at, hit = np.nonzero((scores >= kth[rows][:, None]) & (ids[node.rows][None, :] != q_ids[rows][:, None]))
+        scores = a[rows] @ y[node.rows].T
+        slack = SLACK * norms[rows] * node.reach if large else 0 * norms[rows]
+        at, hit = np.nonzero((scores >= (floor[rows] - slack)[:, None]) & (ids[node.rows][None, :] != q_ids[rows][:, None]))
         for i in np.unique(at):
             mine = hit[at == i]
             r = rows[i]
-            best[r] = sorted(best[r] + [(-int(s), int(j)) for s, j in zip(scores[i, mine], ids[node.rows[mine]], strict=True)])[:k]
-            if len(best[r]) == k:
-                kth[r] = max(kth[r], -best[r][-1][0])
+            exact = [integer_score(q[r], x[j]) for j in node.rows[mine]] if large else scores[i, mine].astype(np.int64).tolist()
+            best[r] = sorted(best[r] + [(-s, int(j)) for s, j in zip(exact, ids[node.rows[mine]], strict=True)])[:k]
+            if len(best[r]) == k and best[r][-1][0] != -LOW:
+                floor[r] = max(floor[r], -best[r][-1][0] / scale[0] / scale[1])
 
-    if len(x) and len(q):
-        enter(Ball(x, np.arange(len(x))), np.arange(len(q)))
+    enter(Ball(y, np.arange(len(x))), np.arange(len(q)))
     return [(int(i), j, -s) for i, own in zip(q_ids, best, strict=True) for s, j in own]
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """(id, v array<long>, dim): floor(scale * x) of each component. Null ids, null vectors and vectors with a null or non-finite component are left out."""
-    v = F.col(vector_col)
-    good = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.where(F.col(id_col).isNotNull() & good)
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long")).alias("v")).withColumn("dim", F.size("v"))
+    """(id, v array<double> of whole numbers, dim): floor(scale * x) of each component. Null ids, null vectors and vectors in which a component or its product is null or not finite are left out."""
+    v = F.transform(vector_col, lambda x: F.lit(float(scale)) * x.cast("double"))
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    rows = rows.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    # From 2**53 on, every double is whole.
+    whole = F.transform("v", lambda x: F.when(F.abs(x) >= 2.0**53, x).otherwise(F.floor(x).cast("double")))
+    return rows.select("id", whole.alias("v")).withColumn("dim", F.size("v"))
 
 
 def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, every: int = 50, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -77,7 +98,8 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
     Vectors of another dimension aren't candidates. Rows that repeat an id are candidates each, but not
     of queries with that id; equal query rows are one query, different ones of the same id don't occur
-    together in a result (the first by value counts). First each query searches the shard of its own hash; the
+    together in a result (the first by value counts). Scores are whole numbers without rounding; those
+    beyond the long range count as its ends. Empty tables give no rows. First each query searches the shard of its own hash; the
     kth scores found there then bound the search of all other shards.
     """
     rows = checkpointed(integer_vectors(df, id_col, vector_col))
@@ -102,9 +124,9 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     def run(q: DataFrame) -> DataFrame:
         return checkpointed(q.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(one, "query_id long, vec_id long, score long"))
 
-    first = run(query.select("id", "v", "dim", "block", F.col("home").alias("shard"), F.lit(float("-inf")).alias("known")))
-    known = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(float("-inf"))).cast("double").alias("known"))
-    rest = query.join(known, query.id == known.query_id, "left").select("id", "v", "dim", "block", "home", F.coalesce("known", F.lit(float("-inf"))).alias("known"))
+    first = run(query.select("id", "v", "dim", "block", F.col("home").alias("shard"), F.lit(LOW).alias("known")))
+    known = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(LOW)).alias("known"))
+    rest = query.join(known, query.id == known.query_id, "left").select("id", "v", "dim", "block", "home", F.coalesce("known", F.lit(LOW)).alias("known"))
     rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard != home").drop("home")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return first.union(run(rest)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
