@@ -1,9 +1,10 @@
-"""URL filters: rules on host and path, and a Bloom filter cascade that tells listed hosts from all others of the corpus exactly, without a join."""
+"""URL filters: rules on host and path, and a Bloom filter cascade that tells listed hosts from all others of the corpus exactly, without a join: in segments, each a file that workers read when they need it."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -11,14 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import checkpointed, lower_ascii, table, text_map, utf8
+from tallyweave.llm.common import checkpointed, discard, file_system, lower_ascii, process_cache, qualified, shared_dir, table, text_map
 
 #: (host and path, verdict)
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Listed domains: they and their subdomains are blocked where no rule fits.
 LISTED = ("ads-track.example.com", "casino-win.example.com", "cheap-pills.example.com", "free-bets.example.com")
-#: A cascade of more bytes isn't broadcast; membership is then a join.
-BROADCAST_BYTES = 64 << 20
+#: Keys of a segment of the cascade, about; bits of a level for each of its keys; bytes of filters that a worker keeps.
+SEGMENT_KEYS, BITS_PER_KEY, HELD_BYTES = 1 << 17, 10, 256 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -58,53 +59,18 @@ def holds(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
 
 
-def encoded(keys: DataFrame, level: int, bits: int) -> np.ndarray:
-    """The filter of the keys, put together on the executors in parts of 65536 bits."""
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(positions(utf8(batch.column(0)), level, bits)) if batch.num_rows else np.zeros(0, np.int64))], ["slot"])
-
-    def part(pdf: pd.DataFrame) -> pd.DataFrame:
-        flags = np.zeros(1 << 16, bool)
-        flags[(pdf["slot"] & 0xFFFF).to_numpy()] = True
-        return pd.DataFrame({"part": [int(pdf["slot"].iloc[0]) >> 16], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
-
-    out = np.zeros(max(1 << (bits - 3), 8192), np.uint8)
-    found = text_map(keys, ["key"], slots, "slot long").distinct()
-    for row in found.groupBy(F.shiftright("slot", 16)).applyInPandas(part, "part long, bits binary").toLocalIterator():
-        out[row["part"] << 13 : (row["part"] + 1) << 13] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def passing(keys: DataFrame, bitmap: np.ndarray, level: int, bits: int) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(bitmap)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(holds(shared.value, positions(utf8(batch.column(0)), level, bits)), pa.bool_()))
-
-    return text_map(keys, ["key"], work, "key string")
-
-
-def cascade(listed: DataFrame, others: DataFrame, limit: int = BROADCAST_BYTES, bits_per_key: int = 10) -> list[tuple[int, np.ndarray]] | None:
-    """Filters (bits, bitmap) that tell listed from others (both of one column key, no key in both): each level encodes what the one before lets through wrongly.
-
-    None if the first filter alone would be larger than limit bytes.
-    """
-    n = listed.count()
-    if n * bits_per_key // 8 > limit:
-        return None
-    levels: list[tuple[int, np.ndarray]] = []
-    inside, outside = listed, others
-    while n:
-        bits = max(10, (n * bits_per_key).bit_length())
-        bitmap = encoded(inside, len(levels), bits)
-        wrong = checkpointed(passing(outside, bitmap, len(levels), bits))
-        levels.append((bits, bitmap))
+def layers(inside: list[bytes], outside: list[bytes]) -> list[tuple[int, np.ndarray]]:
+    """Filters (bits, bitmap) that tell inside from outside (no key in both): each level encodes what the one before lets through wrongly."""
+    found: list[tuple[int, np.ndarray]] = []
+    while inside:
+        bits, level = max(10, (len(inside) * BITS_PER_KEY).bit_length()), len(found)
+        flags = np.zeros(1 << bits, bool)
+        flags[positions(inside, level, bits).ravel()] = True
+        bitmap = np.packbits(flags, bitorder="little")
+        found.append((bits, bitmap))
+        wrong = [outside[i] for i in np.flatnonzero(holds(bitmap, positions(outside, level, bits)))] if outside else []
         inside, outside = wrong, inside
-        n = wrong.count()
-    return levels
+    return found
 
 
 def member(levels: list[tuple[int, np.ndarray]], keys: list[bytes]) -> np.ndarray:
@@ -120,31 +86,130 @@ def member(levels: list[tuple[int, np.ndarray]], keys: list[bytes]) -> np.ndarra
     return out
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, domains=LISTED, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """id_col, host, path, rule, verdict of each row: that of the longest rule that fits, else block for hosts under a listed domain and allow for all others.
+def packed(levels: list[tuple[int, np.ndarray]]) -> bytes:
+    return b"".join(bytes([bits]) + bitmap.tobytes() for bits, bitmap in levels)
+
+
+def unpacked(blob: bytes) -> list[tuple[int, np.ndarray]]:
+    out, at = [], 0
+    while at < len(blob):
+        size = 1 << (blob[at] - 3)
+        out.append((blob[at], np.frombuffer(blob, np.uint8, size, at + 1)))
+        at += 1 + size
+    return out
+
+
+@dataclass
+class Cascade:
+    """folder: a file for each segment of keys (first bits of their hash) that holds listed ones; files: their names."""
+
+    folder: str
+    bits: int
+    files: dict[int, str]
+
+    def levels(self, segment: int) -> list[tuple[int, np.ndarray]]:
+        """The filters of a segment; a worker keeps those it read last, up to HELD_BYTES."""
+        held = process_cache("cascade")
+        name = self.files[segment]
+        if name not in held:
+            while held and sum(x[0] for x in held.values()) > HELD_BYTES:
+                held.pop(next(iter(held)))
+            fs, path = file_system(self.folder)
+            with fs.open_input_file(f"{path}/{name}") as file:
+                blob = file.read()
+            held[name] = (len(blob), unpacked(blob))
+        return held[name][1]
+
+    def holds(self, keys: list[bytes]) -> np.ndarray:
+        """Whether each key of the universe is listed. No key is joined, shuffled or compared with a list."""
+        segment = segments(keys, self.bits)
+        out = np.zeros(len(keys), bool)
+        for s in np.unique(segment):
+            if int(s) in self.files:
+                at = np.flatnonzero(segment == s)
+                out[at] = member(self.levels(int(s)), [keys[i] for i in at])
+        return out
+
+
+def segments(keys: list[bytes], bits: int) -> np.ndarray:
+    import xxhash
 
-    The key universe is all hosts of pages. Each row gives one row, whatever is null or repeated.
+    return np.array([xxhash.xxh64_intdigest(x, 42) >> (64 - bits) if bits else 0 for x in keys], np.int64)
+
+
+def cascade(universe: DataFrame, segment_keys: int = SEGMENT_KEYS) -> Cascade:
+    """The filters of universe (key, listed; each key once), segment by segment on the executors.
+
+    A segment has about segment_keys keys, whatever the number of all; only the names of the files of
+    segments with listed keys come to the driver.
     """
+    spark = universe.sparkSession
+    folder = qualified(spark, f"{shared_dir(spark)}/tallyweave-work/{uuid.uuid4().hex}")
+    fs, path = file_system(folder)
+    fs.create_dir(path, recursive=True)
+    n = universe.count()
+    bits = max(0, (n // segment_keys).bit_length())
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [x.encode() for x in pdf["key"]]
+        flags = pdf["listed"].to_numpy(bool)
+        levels = layers([x for x, f in zip(keys, flags, strict=True) if f], [x for x, f in zip(keys, flags, strict=True) if not f])
+        if not levels:
+            return pd.DataFrame({"segment": pd.Series([], dtype="int64"), "file": pd.Series([], dtype=object)})
+        fs, path = file_system(folder)
+        name = f"{uuid.uuid4().hex}.bloom"
+        with fs.open_output_stream(f"{path}/{name}", compression=None) as file:
+            file.write(packed(levels))
+        return pd.DataFrame({"segment": [int(segments(keys[:1], bits)[0])], "file": [name]})
+
+    segment = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits) if bits else F.lit(0).cast("bigint")
+    rows = universe.select("key", "listed", segment.alias("s")).groupBy("s").applyInPandas(build, "segment long, file string").collect()
+    return Cascade(folder, bits, {r["segment"]: r["file"] for r in rows})
+
+
+def ends_of(host: str, labels: int) -> list[str]:
+    """The host's domains of up to so many labels, itself included if it has no more."""
+    parts = host.rsplit(".", labels)
+    return [".".join(parts[i:]) for i in range(max(0, len(parts) - labels), len(parts))]
+
+
+def judge(pages: DataFrame, listed: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", rules=RULES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
+    """id_col, host, path, rule, verdict of each row: that of the longest rule that fits, else block for hosts at or under a listed domain and allow for all others.
+
+    listed: a table whose first column has the domains, of any number; null and empty ones list
+    nothing, repeated ones count once. The key universe is all domains of the hosts of pages, of as many
+    labels as listed ones have at most; it meets the list once, when the cascade is built. Each row of
+    pages gives one row, whatever is null or repeated; empty tables give no rows.
+    """
+    spark = pages.sparkSession
+    listed = listed if listed is not None else spark.createDataFrame([(x,) for x in LISTED], "domain string")
+    listed = listed.select(lower_ascii(F.col(listed.columns[0])).alias("key")).where("key <> ''").distinct()
     url = F.col(url_col)
     rule, own = rule_of(F.col("host"), F.col("path"), rules)
     rows = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path")).select(F.col(id_col), "host", "path", rule.alias("rule"), own.alias("own"))
-    listed = reduce(lambda a, b: a | b, [under(F.col("key"), d) for d in domains], F.lit(False))
-    universe = checkpointed(rows.select(F.col("host").alias("key")).distinct())
-    inside, outside = universe.where(listed), universe.where(~listed)
-    levels = cascade(inside, outside, limit)
-    if levels is None:
-        found = rows.join(inside.withColumn("hit", F.lit(True)), F.col("host") == F.col("key"), "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
-    else:
-        shared = pages.sparkSession.sparkContext.broadcast(levels)
-
-        @F.pandas_udf("boolean")
-        def hit(host: pd.Series) -> pd.Series:
-            code, keys = pd.factorize(host)
-            return pd.Series(member(shared.value, [x.encode() for x in keys])[code] if len(keys) else np.zeros(0, bool))
-
-        found = rows.withColumn("hit", hit("host"))
-    verdict = F.coalesce("own", F.when(F.col("hit"), "block").otherwise("allow"))
-    return found.select(F.col(id_col), "host", "path", "rule", verdict.alias("verdict"))
+    labels = listed.agg(F.max(F.length("key") - F.length(F.replace("key", F.lit("."), F.lit(""))) + 1)).first()[0] or 0
+
+    def domains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = dict.fromkeys(x for host in batch.column(0).to_pylist() for x in ends_of(host, labels))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["key"])
+
+    universe = text_map(rows.select("host").distinct(), ["host"], domains, "key string").distinct()
+    universe = checkpointed(universe.join(listed.withColumn("listed", F.lit(True)), "key", "left").withColumn("listed", F.coalesce("listed", F.lit(False))))
+    filters = cascade(universe, segment_keys)
+    discard(universe)
+
+    @F.pandas_udf("boolean")
+    def hit(host: pd.Series) -> pd.Series:
+        code, hosts = pd.factorize(host)
+        own = [[x.encode() for x in ends_of(h, labels)] for h in hosts]
+        flags = filters.holds([x for xs in own for x in xs])
+        ends = np.cumsum([0, *map(len, own)])
+        found = np.array([flags[a:b].any() for a, b in zip(ends[:-1], ends[1:], strict=True)], bool)
+        return pd.Series(found[code] if len(hosts) else np.zeros(0, bool))
+
+    verdict = F.coalesce("own", F.when(hit("host"), "block").otherwise("allow"))
+    return rows.select(F.col(id_col), "host", "path", "rule", verdict.alias("verdict"))
 
 
 def _sql() -> str:
