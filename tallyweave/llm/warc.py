@@ -1,4 +1,4 @@
-"""WARC archives with revisit records, and a two-level capture index: sorted compressed blocks, and a sparse directory that is binary-searched before range reads."""
+"""WARC archives with revisit records, and a two-level capture index: sorted compressed blocks, and a sparse directory for each index file; both are bisected before range reads."""
 
 from __future__ import annotations
 
@@ -15,20 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import checkpointed, pieces, shared_dir, table, text_map, utf8
+from tallyweave.llm.common import checkpointed, discard, file_system, pieces, qualified, shared_dir, table, text_map, utf8
 
-#: Index lines of a block.
-BLOCK_LINES = 500
+#: Index lines of a block; directories of index files that a reader keeps.
+BLOCK_LINES, HELD_DIRECTORIES = 500, 8
 DATE = "2024-01-01T00:00:00Z"
 
 
-def file_system(uri: str):
-    """The file system of a URI or local path, and the path in it; executors reach it as well as the driver."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -73,12 +66,57 @@ def read_record(member: bytes) -> dict:
     }
 
 
+def place(key: str, page_id) -> tuple:
+    """Where a capture stands in the index: by its key, then by its id; null ids come first."""
+    return key, page_id is not None, page_id or 0
+
+
 @dataclass
 class Archive:
-    """folder: where archives and index blocks are; directory: first and last key, file, offset and length of each block."""
+    """folder: where archives, index blocks and directories are. top: first place and name of each index file, sorted; there is one for each task that wrote the index."""
 
     folder: str
-    directory: DataFrame
+    top: list[tuple[tuple, str]]
+
+
+class Index:
+    """A reader of an archive's index: bisects the index files, the sparse directory of a file and the lines of a block. It keeps the directories and the block it read last."""
+
+    def __init__(self, archive: Archive) -> None:
+        self.fs, self.path = file_system(archive.folder)
+        self.top, self.firsts = archive.top, [x[0] for x in archive.top]
+        self.opened: dict = {}
+        self.directories: dict[str, tuple[list, list]] = {}
+        self.block: tuple = (None, None, None)
+
+    def read(self, file: str, at: int, size: int) -> bytes:
+        return _range(self.fs, self.path, file, at, size, self.opened)
+
+    def directory(self, name: str) -> tuple[list, list]:
+        """First places and (offset, length) of the blocks of an index file."""
+        if name not in self.directories:
+            if len(self.directories) >= HELD_DIRECTORIES:
+                self.directories.pop(next(iter(self.directories)))
+            with self.fs.open_input_file(f"{self.path}/{name}.dir") as file:
+                rows = [json.loads(x) for x in gzip.decompress(file.read()).decode().split("\n")[:-1]]
+            self.directories[name] = [place(key, i) for key, i, _, _ in rows], [(at, size) for _, _, at, size in rows]
+        return self.directories[name]
+
+    def lines(self, name: str, at: int, size: int) -> tuple[list, list]:
+        """Places and (file, offset, length) of the captures of a block."""
+        if self.block[0] != (name, at):
+            rows = [(key, json.loads(rest)) for key, _, rest in (x.partition(" ") for x in gzip.decompress(self.read(f"{name}.cdx.gz", at, size)).decode().split("\n")[:-1])]
+            self.block = (name, at), [place(key, rest[0]) for key, rest in rows], [tuple(rest[1:]) for _, rest in rows]
+        return self.block[1:]
+
+    def find(self, low: tuple, high: tuple) -> Iterator[tuple[str, int, int]]:
+        """(file, offset, length) of the captures at places from low to high. What equals low can begin at the end of the block before the first that does."""
+        for f in range(max(0, bisect.bisect_left(self.firsts, low) - 1), bisect.bisect_right(self.firsts, high)):
+            name = self.top[f][1]
+            firsts, blocks = self.directory(name)
+            for i in range(max(0, bisect.bisect_left(firsts, low) - 1), bisect.bisect_right(firsts, high)):
+                places, captures = self.lines(name, *blocks[i])
+                yield from captures[bisect.bisect_left(places, low) : bisect.bisect_right(places, high)]
 
 
 def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, folder: str | None = None) -> Archive:
@@ -86,10 +124,11 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
 
     Of rows with equal payloads of least_bytes or more, that with the smallest id is a response and the
     others revisit it; rows that repeat its id are responses too, and so are rows with a null id if no
-    other has the payload. Null payloads are empty. A task writes files of its own names: what a lost
-    or repeated task leaves behind is in no index.
+    other has the payload. Null payloads are empty; each row gives a record, an empty table an archive
+    without records. A task writes files of its own names: what a lost or repeated task leaves behind is
+    in no index. A folder without a scheme is in Spark's default file system.
     """
-    folder = (folder or f"{shared_dir(pages.sparkSession)}/tallyweave-warc/{uuid.uuid4().hex}").rstrip("/")
+    folder = qualified(pages.sparkSession, (folder or f"{shared_dir(pages.sparkSession)}/tallyweave-warc/{uuid.uuid4().hex}").rstrip("/"))
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
 
@@ -99,7 +138,8 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(payload, pa.binary()), pa.array([len(x) for x in payload], pa.int64()), pa.array([payload_digest(x) for x in payload])], ["id", "url", "payload", "n", "digest"])
 
     rows = text_map(pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload")), ["id", "url", "payload"], digests, "id long, url string, payload binary, n long, digest string")
-    first = rows.where(F.col("n") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"))
+    # Only digests of several rows; written, so that Spark can split a payload that a third of all rows have.
+    first = checkpointed(rows.where(F.col("n") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
     rows = rows.join(first, "digest", "left").select("id", "url", "payload", "digest", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("first"))
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,32 +165,37 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = file_system(folder)
-        name, at, out, held = f"{uuid.uuid4().hex}.cdx.gz", 0, None, []
+        name, at, out, held, fences = uuid.uuid4().hex, 0, None, [], []
 
-        def close(held: list[tuple]) -> pa.RecordBatch:
+        def close(held: list[tuple]) -> None:
             nonlocal at, out
-            out = out or fs.open_output_stream(f"{path}/{name}", compression=None)
+            out = out or fs.open_output_stream(f"{path}/{name}.cdx.gz", compression=None)
             member = gzip.compress("".join(f"{key} {json.dumps(rest)}\n" for key, *rest in held).encode(), 6, mtime=0)
             out.write(member)
-            row = (held[0][0], held[-1][0], name, at, len(member), len(held))
+            fences.append((held[0][0], held[0][1], at, len(member)))
             at += len(member)
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["first", "last", "file", "at", "size", "lines"])
 
         try:
             for batch in batches:
                 for line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     held.append(line)
                     if len(held) == BLOCK_LINES:
-                        yield close(held)
+                        close(held)
                         held = []
             if held:
-                yield close(held)
+                close(held)
         finally:
             if out:
                 out.close()
+        if fences:
+            with fs.open_output_stream(f"{path}/{name}.dir", compression=None) as file:
+                file.write(gzip.compress("".join(json.dumps(x) + "\n" for x in fences).encode(), 6, mtime=0))
+            yield pa.RecordBatch.from_arrays([pa.array([fences[0][0]], pa.string()), pa.array([fences[0][1]], pa.int64()), pa.array([name], pa.string())], ["key", "id", "name"])
 
     ordered = lines.repartitionByRange("key", "id").sortWithinPartitions("key", "id", "file", "at")
-    return Archive(folder, checkpointed(ordered.mapInArrow(blocks, "first string, last string, file string, at long, size long, lines long")))
+    top = [(place(r["key"], r["id"]), r["name"]) for r in ordered.mapInArrow(blocks, "key string, id long, name string").collect()]
+    discard(lines, first)
+    return Archive(folder, sorted(top))
 
 
 def _range(fs, path: str, file: str, at: int, size: int, opened: dict | None = None) -> bytes:
@@ -163,43 +208,40 @@ def _range(fs, path: str, file: str, at: int, size: int, opened: dict | None = N
 
 
 def lookup(archive: Archive, url: str) -> list[dict]:
-    """The records of a URL: the directory gives the blocks by binary search, each block the places, a range read each record. Revisits come with the payload of what they revisit only if asked for by its own URL."""
-    key = url_key(url)
-    fs, path = file_system(archive.folder)
-    # Only the blocks around the key come to the driver; the directory itself stays a table.
-    few = archive.directory.where((F.col("first") <= key) & (F.col("last") >= key)).orderBy("first", "file", "at").collect()
-    out = []
-    for block in few:
-        lines = gzip.decompress(_range(fs, path, block["file"], block["at"], block["size"])).decode().split("\n")[:-1]
-        keys = [x.split(" ", 1)[0] for x in lines]
-        for i in range(bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)):
-            _, file, at, size = json.loads(lines[i].split(" ", 1)[1])
-            out.append(read_record(_range(fs, path, file, at, size)))
-    return out
-
-
-def read_back(archive: Archive) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of all records, read through the index; digest and length of responses are those of the payload read. A record that doesn't hold its digest raises ValueError."""
-    folder = archive.folder
+    """The records of a URL, by bisection and range reads. Revisits come with the payload of what they revisit only if asked for by its own URL."""
+    index, key = Index(archive), url_key(url)
+    return [read_record(index.read(*x)) for x in index.find((key, False, 0), (key, True, float("inf")))]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = file_system(folder)
-        opened: dict = {}
+
+def read_back(archive: Archive, pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of the records of all url and id pairs of pages; pairs without a record give no row, repeated pairs their records once.
+
+    The pairs are sorted, so that a task reads each block of the index once; each pair is found by
+    bisection of the index files, the directory and the block, and its records by range reads. Digest
+    and length of responses are those of the payload read; a record that doesn't hold its digest raises
+    ValueError.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, at, size in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size")), strict=True):
-                lines = gzip.decompress(_range(fs, path, file, at, size, opened)).decode().split("\n")[:-1]
-                places = sorted((json.loads(x.split(" ", 1)[1])[1:] for x in lines), key=lambda p: (p[0], p[1]))
-                got = []
-                for f, a, s in places:
-                    r = read_record(_range(fs, path, f, a, s, opened))
-                    if r["payload"] is not None and (payload_digest(r["payload"]) != r["digest"] or len(r["payload"]) != r["payload_bytes"]):
-                        raise ValueError(f"record {r['id']} doesn't hold its digest")
-                    number = lambda x: None if x is None else int(x)
-                    got.append((number(r["id"]), r["payload_bytes"], r["digest"], r["kind"], number(r["refers_to"]), r["url"]))
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
-
-    dealt = archive.directory.repartition(F.col("file"), F.col("at"))
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(x) for x in batch.column(0).to_pylist()], pa.string()), batch.column(1)], ["key", "id"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(archive)
+        number = lambda x: None if x is None else int(x)
+        for batch in pieces(batches):
+            wanted = [place(*x) for x in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            got = []
+            for x in sorted(c for p in wanted for c in index.find(p, p)):
+                r = read_record(index.read(*x))
+                if r["payload"] is not None and (payload_digest(r["payload"]) != r["digest"] or len(r["payload"]) != r["payload_bytes"]):
+                    raise ValueError(f"record {r['id']} doesn't hold its digest")
+                got.append((number(r["id"]), r["payload_bytes"], r["digest"], r["kind"], number(r["refers_to"]), r["url"]))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*got, strict=True)) or [()] * 6, kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
+
+    pairs = text_map(pages.select(F.col(url_col).alias("url"), F.col(id_col).cast("long").alias("id")), ["url", "id"], keyed, "key string, id long").distinct()
+    dealt = pairs.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     return dealt.mapInArrow(work, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
@@ -220,4 +262,5 @@ OP9_SQL = _sql()
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_back(write(table(spark, sf_dir, "pages"))).drop("url")
+    pages = table(spark, sf_dir, "pages")
+    return read_back(write(pages), pages).drop("url")

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -26,8 +27,8 @@ def test_top_k_equals_brute_force(spark):
 def test_judge(spark):
     urls = [(1, "http://Casino-Win.example.com/x"), (2, "https://a.example.net/en/1?q=/de/"), (3, "https://a.example.net/fr/"), (4, "http://b.example.org/fr/x"), (5, None), (6, "no scheme"), (7, "x://EXAMPLE.com/de/"), (8, "x://badexample.com/de/"), (9, "x://net"), (None, "x://net/"), (1, "x://m.free-bets.example.com?://net/"), (10, "")]
     df = spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit("clash"))
-    for limit in (urlfilter.BROADCAST_BYTES, -1):
-        got = {(r.page_id, r.host): (r.path, r.rule, r.verdict) for r in urlfilter.judge(df, limit=limit).collect()}
+    for size in (urlfilter.SEGMENT_KEYS, 2):
+        got = {(r.page_id, r.host): (r.path, r.rule, r.verdict) for r in urlfilter.judge(df, segment_keys=size).collect()}
         assert got[1, "casino-win.example.com"] == ("/x", None, "block")
         assert got[2, "a.example.net"] == ("/en/1", "example.net/en/", "allow")
         assert got[3, "a.example.net"][1:] == ("net/", "block") and got[4, "b.example.org"][1:] == ("org/fr/", "allow")
@@ -38,12 +39,33 @@ def test_judge(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_listed_table(spark):
+    hosts = [f"{a}.{b}.c{c}" for a in "xyz" for b in "pqr" for c in range(40)]
+    pages = spark.createDataFrame([(i, f"h://{h}/" if i % 5 else f"h://{'.' * (i % 3)}{h}") for i, h in enumerate(hosts)] + [(999, "h://" + "a." * 3000 + "c7")], "page_id long, url string")
+    domains = [f"q.c{c}" for c in range(0, 40, 3)] + ["x.p.c1", "c7", "C9", "", None, "c7"]
+    listed = spark.createDataFrame([(d,) for d in domains], "domain string")
+    want = {r.page_id: r.host for r in urlfilter.judge(pages, listed, segment_keys=8).collect()}
+    got = {r.page_id for r in urlfilter.judge(pages, listed, segment_keys=8).where("verdict = 'block'").collect()}
+    assert got == {i for i, h in want.items() if any(h == d.lower() or h.endswith("." + d.lower()) for d in domains if d)}
+    assert {r.verdict for r in urlfilter.judge(pages, listed.limit(0), rules=()).collect()} == {"allow"}
+
+
 def test_cascade_is_exact(spark):
-    keys = spark.range(6000).select(F.concat(F.lit("h"), F.col("id")).alias("key"), (F.col("id") % 7 == 0).alias("on"))
-    levels = urlfilter.cascade(keys.where("on").select("key"), keys.where("not on").select("key"), bits_per_key=3)
-    assert len(levels) > 2
+    keys = spark.range(6000).select(F.concat(F.lit("h"), F.col("id")).alias("key"), (F.col("id") % 7 == 0).alias("listed"))
     names = [f"h{i}".encode() for i in range(6000)]
-    assert urlfilter.member(levels, names).tolist() == [i % 7 == 0 for i in range(6000)]
+    for size in (100, 1 << 20):
+        assert urlfilter.cascade(keys, size).holds(names).tolist() == [i % 7 == 0 for i in range(6000)]
+    assert len(urlfilter.layers(names[::7], [x for i, x in enumerate(names) if i % 7])) > 1
+
+
+def test_top_k_of_large_components(spark):
+    rnd = np.random.default_rng(5)
+    for rows in ([(i, [1e30] * 4) for i in (0, 1, 2)] + [(3, [-1e30] * 4), (50, [1e300] * 4), (4, [1e308] * 4)], [(int(i), (1e6 + rnd.standard_normal(64)).tolist()) for i in range(300)]):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        whole = [(i, [math.floor(256.0 * x) for x in v]) for i, v in rows if all(math.isfinite(256.0 * x) for x in v)]
+        score = lambda a, b: max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(a, b, strict=True))))
+        want = {(i, r + 1, j, -s) for i, q in whole if i % 50 == 0 for r, (s, j) in enumerate(sorted((-score(q, v), j) for j, v in whole if j != i)[:5])}
+        assert {tuple(r) for r in topk.top_k(df, shard_rows=50).collect()} == want
 
 
 def test_warc_round_trip(spark, tmp_path):
@@ -52,7 +74,7 @@ def test_warc_round_trip(spark, tmp_path):
     rows += [(None, None, "<p>only</p>"), (None, "http://n", "<p>é</p>"), (2, "http://again\r\n", rows[2][2]), (5000, "http://big", "x" * 300_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1))
     archive = warc.write(df, folder=str(tmp_path / "w"))
-    got = sorted((r.page_id is None, r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_back(archive).collect() if r.page_id is not None)
+    got = sorted((r.page_id is None, r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_back(archive, df).collect() if r.page_id is not None)
     least = {}
     for i, _, h in rows:
         if i is not None:
@@ -62,7 +84,12 @@ def test_warc_round_trip(spark, tmp_path):
     found = warc.lookup(archive, "http://big")
     assert len(found) == 1 and found[0]["payload"] == b"x" * 300_000
     assert warc.lookup(archive, "http://none.org/") == []
-    assert warc.read_back(warc.write(df.limit(0), folder=str(tmp_path / "e"))).count() == 0
+    assert len(warc.lookup(archive, "http://n")) == 1 and len(warc.lookup(archive, rows[9][1])) == 1
+    some = df.where("page_id < 5")
+    assert warc.read_back(archive, some).count() == some.count()
+    assert warc.read_back(warc.write(df.limit(0), folder=str(tmp_path / "e")), df).count() == 0
+    same = spark.createDataFrame([(i % 3, "http://one/", f"{i}") for i in range(2000)], "page_id long, url string, html string")
+    assert warc.read_back(warc.write(same), same).count() == 2000
 
 
 def test_components(spark):
