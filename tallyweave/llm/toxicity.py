@@ -147,9 +147,6 @@ def train(texts: list[str], labels: list[int], langs: list[str | None], shape: S
         # A third of the steps see a toxic text; the scale fitted afterwards undoes that.
         i = rnd.choice(pos) if step % 3 == 0 else rnd.choice(neg)
         own = ids[i][rnd.random(len(ids[i])) > 0.15] if len(ids[i]) > 8 else ids[i]
-        if len(own) > 2048:  # a training step sees one part of a very long text; scoring sees all of it
-            start = rnd.integers(0, len(own) - 2048) if y[i] == 0 else int(np.clip(model.embed[own, 0].sum(axis=1).argmax() - 1024, 0, len(own) - 2048))
-            own = own[start : start + 2048]
         x = np.concatenate([model.embed[own].sum(axis=1), pad])
         value, place = model.pooled(x)
         a = np.maximum(value + model.bias, 0)
@@ -210,14 +207,17 @@ def calibrate(model: Model, texts: list[str], y: np.ndarray, langs: list[str | N
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang", sample: int = SAMPLE, shape: Shape | None = None) -> Model:
     """The classifier of the labelled rows of docs whose crc32 of the id as text, mod 4, isn't 2; of up to sample of them, those with the smallest hashes.
 
-    Labels other than 0 and 1 and null ids are passed over; of repeated labels of an id the largest counts.
+    Labels other than 0 and 1 and null ids are passed over; of repeated labels of an id the largest
+    counts, of rows that repeat an id the one with the smallest text. Null texts are empty. Training
+    sees whole texts. Empty tables give a model whose scores are about 0.
     """
     key = F.col(id_col).cast("string")
     few = labels.where(F.col(label_col).isin(0, 1) & (F.crc32(key) % 4 != 2)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__label"))
     few = few.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), lang.alias("__lang")).join(F.broadcast(few), "__id")
-    got = sorted(rows.dropDuplicates(["__id"]).collect(), key=lambda r: (zlib.crc32(str(r["__id"]).encode()), str(r["__id"])))
+    one = rows.groupBy("__id").agg(F.min(F.struct("__text", "__lang", "__label")).alias("r")).select("__id", "r.*")
+    got = sorted(one.collect(), key=lambda r: (zlib.crc32(str(r["__id"]).encode()), str(r["__id"])))
     return train([r["__text"] for r in got], [r["__label"] for r in got], [r["__lang"] for r in got], shape)
 
 
@@ -238,19 +238,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(lambda it: work(pieces(it, 256)), f"id {kind}, score double, threshold double, flagged boolean").withColumnRenamed("id", id_col)
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, **more) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang", **more) -> DataFrame:
     """The rows of docs, all columns, that the threshold of their language doesn't reject.
 
-    The text is scored where it is: nothing is shuffled. Rows with a null id or text are scored like others.
+    The text is scored where it is: nothing is shuffled. Rows with a null id or text are scored like
+    others, each row that repeats an id by its own text; an empty table stays empty.
     """
-    model = learn(docs, labels, **more)
+    model = learn(docs, labels, id_col, text_col, label_col, lang_col, **more)
     shared = share(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared()
         for batch in pieces(batches, 256):
-            langs = batch.column("lang").to_pylist() if "lang" in batch.schema.names else [None] * batch.num_rows
-            keep = [own.score(t or "") < own.thresholds.get(x or "", own.threshold) for t, x in zip(batch.column("text").to_pylist(), langs, strict=True)]
+            langs = batch.column(lang_col).cast(pa.string()).to_pylist() if lang_col in batch.schema.names else [None] * batch.num_rows
+            keep = [own.score(t or "") < own.thresholds.get(x or "", own.threshold) for t, x in zip(batch.column(text_col).to_pylist(), langs, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
