@@ -50,3 +50,32 @@ def test_matches_equal_brute_force(spark):
     assert {r.doc_id for r in decontam.without_benchmark(docs, bench).collect()} == {i for i, _ in rows} - bad
     assert decontam.matches(docs.limit(0), bench).count() == 0
     assert decontam.matches(docs, bench.limit(0)).count() == 0
+
+
+def test_order_and_repeats_lose_no_match(spark):
+    """Items whose halves stand the other way round, and items of few shingles many times: SimHashes far apart, similarity 0.8 or more."""
+    rnd = random.Random(4)
+    items, rows = [], []
+    for j, n in enumerate([80, 120, 45, 46, 60]):
+        w = [f"i{j}w{k}" for k in range(n)]
+        cut = rnd.randrange(n // 3, n // 2)
+        items.append((j, " ".join(w)))
+        rows.append((j, " ".join([f"u{k}" for k in range(rnd.randrange(9))] + w[cut:] + w[:cut] + ["v"])))
+    phrase = "a b c d e f g h".split()
+    items.append((50, " ".join(phrase * 5)))
+    rows += [(50, " ".join((phrase * 6)[3:43])), (51, " ".join((phrase * 30)[5:])), (52, " ".join("x " * 3) + " ".join(phrase * 2)), (53, " ".join(phrase * 4 + ["z"]))]
+    items.append((60, " ".join(["a"] * 9 + ["b"] * 8)))
+    rows += [(60, " ".join(["a"] * 8 + ["b"] * 9)), (61, " ".join(["b"] * 4 + ["a"] * 9 + ["b"] * 7 + ["c"]))]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start, round(r.similarity, 9)) for r in decontam.matches(docs, bench).collect()}
+    assert got == brute(rows, items)
+    assert {(0, 0), (1, 1)} <= {x[:2] for x in got}
+
+
+def test_starts_of(spark):
+    rnd = random.Random(9)
+    for _ in range(12):
+        at = sorted(rnd.sample(range(40), rnd.randrange(0, 20)))
+        need, n, last = rnd.randint(1, 6), rnd.randint(1, 10), rnd.randint(0, 35)
+        row = spark.createDataFrame([(at, need, n, last)], "at array<int>, need int, n int, last int").select(decontam.starts_of(*map(F.col, ("at", "need", "n", "last"))).alias("s")).first()
+        assert row.s == [s for s in range(last + 1) if sum(s <= x < s + n for x in at) >= need]
