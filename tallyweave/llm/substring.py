@@ -1,4 +1,4 @@
-"""Substring dedup: suffixes go by prefix into groups that fit in memory, each group's suffix tree gives the repeats of a window of words or more."""
+"""Substring dedup: suffixes go by prefix into groups that fit in memory; the deep internal nodes of each group's suffix tree, read from sorted suffixes and common prefixes, give the repeats of a window of words or more."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm.common import checkpointed, discard, pieces, table, utf8
 
-#: Suffixes of one prefix that one suffix tree takes; prefixes with more are made longer, up to a whole window and its surroundings.
+#: Suffixes of one prefix that one suffix tree takes. Prefixes with more are lengthened to a whole window; all suffixes of such a
+#: prefix are below one deep node, of which only the least place is needed, so it is aggregated and never held.
 TREE_ROWS = 1000
 #: The filter of repeated prefixes has 2**30 bits (128 MB) at most. A fuller filter lets more suffixes through and loses none.
 FILTER_BITS = 30
@@ -52,18 +53,24 @@ def anchors(words: list[bytes], window: int, seed: int) -> tuple[np.ndarray, np.
     return place, g[place], first, last
 
 
-def deep_nodes(suffixes: list[list[bytes]], depth: int) -> Iterator[list[int]]:
-    """Leaves below each highest node of depth words or more in the suffix tree of these suffixes.
+def common_words(a: list[bytes], b: list[bytes]) -> int:
+    """Length of the common prefix."""
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
-    The tree is its sorted suffixes; neighbours that have depth words in common lie under one such node.
+
+def deep_nodes(suffixes: list[list[bytes]], depth: int) -> Iterator[tuple[list[int], int]]:
+    """The highest internal nodes of depth words or more in the suffix tree of these suffixes: the leaves below each, and its own depth, the length of the maximal repeat that it is.
+
+    The tree is read from the sorted suffixes and the common prefixes of neighbours: a run of neighbours
+    with depth words or more in common is one such node, as deep as its first and last leaf agree.
     """
-    keys = [x[:depth] for x in suffixes]
-    order = sorted(range(len(keys)), key=keys.__getitem__)
+    order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
+    heads = [suffixes[i][:depth] for i in order]
     start = 0
     for i in range(1, len(order) + 1):
-        if i == len(order) or keys[order[i]] != keys[order[start]]:
-            if i - start > 1:
-                yield order[start:i]
+        if i == len(order) or heads[i] != heads[start]:
+            if i - start > 1 and len(heads[start]) == depth:
+                yield order[start:i], common_words(suffixes[order[start]], suffixes[order[i - 1]])
             start = i
 
 
@@ -163,10 +170,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             for r, (_, _, _, _, n, text) in enumerate(group):
                 words = text.split(b" ")
                 for i in range(n):
-                    suffixes.append(words[i : i + window])
+                    suffixes.append(words[i:])
                     place.append((r, i))
             flags = [[False] * x[4] for x in group]
-            for leaves in deep_nodes(suffixes, window):
+            for leaves, _ in deep_nodes(suffixes, window):
                 starts = [_order((group[r][1], group[r][3] + i)) for r, i in map(place.__getitem__, leaves)]
                 least = min(starts)
                 for x, leaf in zip(starts, leaves, strict=True):
@@ -233,12 +240,13 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     return out
 
 
-def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **more) -> DataFrame:
-    """df, all columns, and __spans array<struct<start, n>>: the words of the text, from start on, n of them, that repeats cover; null if none."""
-    spans = repeats(df, id_col, text_col, window, **more).groupBy("id", "th").agg(F.collect_list(F.struct("start", (F.col("n") + window - 1).alias("n"))).alias("__spans"))
-    spans = spans.select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__spans")
-    hit = df[id_col].eqNullSafe(spans["__id"]) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == spans["__th"])
-    return df.join(spans, hit, "left").drop("__id", "__th")
+def _marked(df: DataFrame, id_col: str, text_col: str, window: int, **more) -> DataFrame:
+    """The columns of df by place, as c0, c1 and so on, so that no name can clash, and spans array<struct<start, n>>: the words of the text, from start on, n of them, that repeats cover; null if none."""
+    spans = repeats(df, id_col, text_col, window, **more).groupBy("id", "th").agg(F.collect_list(F.struct("start", (F.col("n") + window - 1).alias("n"))).alias("spans"))
+    rows = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    i, t = (f"c{df.columns.index(c)}" for c in (id_col, text_col))
+    hit = rows[i].eqNullSafe(spans["id"]) & (F.xxhash64(F.coalesce(rows[t], F.lit(""))) == spans["th"])
+    return rows.join(spans, hit, "left").drop("id", "th")
 
 
 def kept_words(text: bytes, spans: list[dict] | None) -> tuple[int, list[bytes]]:
@@ -262,28 +270,38 @@ def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             sha = [hashlib.sha256(b" ".join(k)).hexdigest() for _, k in got]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in got], pa.int64()), pa.array([n - len(k) for n, k in got], pa.int64()), pa.array(sha, pa.string())], ["id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = removed(df.select(id_col, text_col), id_col, text_col, window, **more)
+    rows = _marked(df.select(id_col, text_col), id_col, text_col, window, **more)
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(work, f"id {kind}, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, **more) -> DataFrame:
-    """The rows of df, all columns. Texts with repeats become their kept words, joined by one space (empty if none is kept); the rest stay as they are. No row goes."""
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, length_col: str | None = None, **more) -> DataFrame:
+    """The rows of df, all columns. Texts with repeats become their kept words, joined by one space (empty if none is kept), and length_col, if given, their number of characters; the rest stay as they are.
 
+    No row goes: null and empty texts stay, rows that repeat an id and text are treated alike, an empty
+    table stays empty. Columns may have any names.
+    """
     columns = df.columns
     at = columns.index(text_col)
+    size = columns.index(length_col) if length_col else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             spans = batch.column(len(columns)).to_pylist()
             text = batch.column(at).to_pylist()
+            lengths = None if size is None else batch.column(size).to_pylist()
             for i, s in enumerate(spans):
                 if s:
                     text[i] = b" ".join(kept_words(text[i].encode(), s)[1]).decode()
-            own = [pa.array(text, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
+                    if lengths is not None:
+                        lengths[i] = len(text[i])
+            own = list(batch.columns[: len(columns)])
+            own[at] = pa.array(text, pa.string())
+            if lengths is not None:
+                own[size] = pa.array(lengths, own[size].type)
             yield pa.RecordBatch.from_arrays(own, columns)
 
-    return removed(df, id_col, text_col, window, **more).mapInArrow(work, df.schema)
+    return _marked(df, id_col, text_col, window, **more).mapInArrow(work, df.schema)
 
 
 #: DuckDB SQL for op7_substring's rows.

@@ -45,6 +45,31 @@ def test_digest_equals_brute_force(spark, tree_rows):
         assert substring.digest(df.limit(0)).count() == 0
 
 
+def test_deep_nodes_are_maximal_repeats():
+    rnd = random.Random(2)
+    text = [bytes([rnd.choice(b"abc")]) for _ in range(60)] * 2 + [b"z"] + [bytes([rnd.choice(b"ab")]) for _ in range(40)]
+    suffixes = [text[i : i + 25] for i in range(len(text) - 5)]
+    seen = set()
+    for leaves, depth in substring.deep_nodes(suffixes, 5):
+        assert depth >= 5 and len({tuple(suffixes[i][:depth]) for i in leaves}) == 1
+        longer = {tuple(suffixes[i][: depth + 1]) for i in leaves}
+        assert len(longer) > 1 or min(len(suffixes[i]) for i in leaves) == depth
+        seen.update(leaves)
+    counts = {}
+    for i, x in enumerate(suffixes):
+        if len(x) >= 5:
+            counts.setdefault(tuple(x[:5]), []).append(i)
+    assert seen == {i for v in counts.values() if len(v) > 1 for i in v}
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, "a b c d e f g h " * 2, "x", i, "y", None) for i in range(3)] + [(9, None, "x", 0, "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __spans string, n_chars long, __id string, th string")
+    got = {r.doc_id: r for r in substring.without_repeats(df, window=6, seed=3, length_col="n_chars").collect()}
+    assert got[0]["__spans"] == "x" and got[1].text == "" and got[1].n_chars == 0 and got[9].text is None and got[0].n_chars == len(got[0].text)
+    assert len(got) == 4
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark):
     rnd = random.Random(3)
     bad = ["vile", "nasty", "awful"]
@@ -70,3 +95,27 @@ def test_toxicity_learns_and_handles_odd_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     empty = toxicity.learn(docs, marks.limit(0))
     assert empty.score("vile") < 0.01
+
+
+def test_toxicity_of_word_order_and_odd_tables(spark):
+    """Only the order of two words tells: word odds alone can't, the convolution can. Rows that repeat an id don't make the model depend on the run, other column names work."""
+    rnd = random.Random(7)
+    rows, labels = [], []
+    for i in range(1500):
+        words = [f"w{rnd.randrange(50)}" for _ in range(rnd.randint(4, 14))]
+        toxic = int(rnd.random() < 0.5)
+        at = rnd.randrange(len(words))
+        words[at:at] = ["kill", "you"] if toxic else ["you", "kill"]
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, toxic))
+    rows += [(i, "zz " * 5000, "en") for i in range(30)]
+    docs = spark.createDataFrame(rows, "key long, body string, tongue string").withColumn("text", F.lit(7))
+    marks = spark.createDataFrame(labels, "key long, toxic int")
+    names = {"id_col": "key", "text_col": "body", "lang_col": "tongue"}
+    models = [toxicity.learn(d, marks, shape=toxicity.Shape(steps=12000), **names) for d in (docs, docs.repartition(7))]
+    assert (models[0].embed == models[1].embed).all()
+    held = [(t, dict(labels)[i]) for i, t, _ in rows[:1500] if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum((models[0].score(t) >= 0.5) == bool(y) for t, y in held) / len(held) > 0.9
+    kept = toxicity.keep_clean(docs, marks, shape=toxicity.Shape(steps=2000), **names)
+    assert kept.columns == docs.columns and kept.count() < len(rows)
+    assert toxicity.keep_clean(docs.limit(0), marks, shape=toxicity.Shape(steps=10), **names).count() == 0
