@@ -6,8 +6,8 @@ from tallyweave.functions.text import STREETS, SUFFIXES
 from tallyweave.plans import linkage as p
 
 QUERIES = {
-    "ingest_profile": p.profile, "clean_text": p.cleaned, "street_canon": p.streets, "legal_suffix": p.suffixes, "exact_key_pairs": p.channel("exact"), "rare_token_pairs": p.channel("rare"),
-    "tfidf_topk_name": p.channel("tfidf"), "candidate_union_cap": p.candidates, "context_features": p.contextual, "set_similarity_features": p.similarities, "stub_scores": p.scored,
+    "ingest_profile": p.profile, "clean_text": p.cleaned, "street_canon": p.streets, "legal_suffix": p.suffixes, "exact_key_pairs": p.channel("exact_key"), "rare_token_pairs": p.channel("rare_token"),
+    "tfidf_topk_name": p.channel("name_tfidf"), "candidate_union_cap": p.candidates, "context_features": p.contextual, "set_similarity_features": p.similarities, "stub_scores": p.scored,
     "unique_claims": p.claims, "prefix_decisions": p.decisions, "prefix_matches": p.matches, "id_lists": p.match_lists, "macro_f05": p.evaluated, "f05_breakdown": p.evaluation,
     "hard_negatives": p.negatives, "calibration_bins": p.calibration, "threshold_rule": p.thresholds, "cap_sweep": p.sweep, "edit_similarity": p.edits, "fold_accents": p.folds, "stratified_quota": p.stratified, "submission_violations": p.submission, "end_to_end_stub": p.end_to_end,
 }
@@ -17,7 +17,7 @@ CLEAN = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 LIST = "list_filter(string_split({}, ' '), lambda x: x <> '')"
 
 REC = f"""rec AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, array_to_string({W}[1:6], ' ') AS business_name,
-  array_to_string({W}[7:14], ' ') AS business_address, coalesce(lang, '') AS country FROM documents),
+  array_to_string({W}[7:], ' ') AS business_address, coalesce(lang, '') AS country FROM documents),
 n0 AS (SELECT entity_id, country, {CLEAN.format('business_name')} AS name_norm, {CLEAN.format('business_address')} AS addr_norm FROM rec),
 n1 AS (SELECT *, {LIST.format('name_norm')} AS name_tokens, {LIST.format('addr_norm')} AS addr_tokens FROM n0),
 norm AS (SELECT *, array_to_string(list_transform(name_tokens, lambda x: x[1:1]), '') AS name_acronym FROM n1)"""
@@ -45,10 +45,12 @@ tg AS (SELECT country, entity_id, substr(t, i::INTEGER, n::INTEGER) AS gram FROM
 tf AS (SELECT country, entity_id, gram, count(*) AS tf FROM tg GROUP BY ALL),
 tn AS (SELECT country, count(*) AS n FROM norm WHERE entity_id NOT LIKE 'S1-%' AND len(name_tokens) > 0 GROUP BY ALL),
 td AS (SELECT tf.country, gram, count(*) AS df FROM tf WHERE entity_id NOT LIKE 'S1-%' GROUP BY ALL),
-ti AS (SELECT td.country, gram, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM td JOIN tn USING (country) WHERE df >= 2 AND df <= floor(0.2::DOUBLE * n)),
-tw0 AS (SELECT tf.country, entity_id, gram, (ln(tf) + 1) * idf AS w FROM tf JOIN ti USING (country, gram)),
-tw AS (SELECT country, entity_id, gram, w / sqrt(sum(w * w) OVER (PARTITION BY entity_id)) AS w FROM tw0),
-tp AS (SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, round(sum(a.w * b.w), 8) AS channel_score FROM tw a JOIN tw b USING (country, gram)
+ti AS (SELECT td.country, gram, df, ln((n + 1)::DOUBLE / (df + 1)) + 1 AS idf, df <= floor(0.01::DOUBLE * n) AS core FROM td JOIN tn USING (country) WHERE df >= 2),
+tk AS (SELECT tf.country, entity_id, gram, core, (ln(tf) + 1) * idf AS w, bool_or(core) OVER (PARTITION BY tf.country, entity_id) AS has_core,
+  row_number() OVER (PARTITION BY tf.country, entity_id ORDER BY core, df, gram) AS nth FROM tf JOIN ti USING (country, gram)),
+tw0 AS (SELECT * FROM tk WHERE core OR (NOT has_core AND nth <= 5)),
+tw AS (SELECT country, entity_id, gram, core, w / sqrt(sum(w * w) OVER (PARTITION BY country, entity_id)) AS w FROM tw0),
+tp AS (SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, round(sum(a.w * b.w), 8) AS channel_score FROM tw a JOIN tw b USING (country, gram, core)
   WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' GROUP BY ALL),
 tfidf AS (SELECT source1_entity_id, candidate_entity_id, (row_number() OVER (PARTITION BY source1_entity_id ORDER BY channel_score DESC, candidate_entity_id))::INTEGER AS channel_rank, channel_score
   FROM tp QUALIFY channel_rank <= 5)"""
@@ -60,8 +62,9 @@ uni AS (SELECT source1_entity_id, candidate_entity_id, bit_or(bit) AS channels,
 slots AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY prior_score DESC, n_channels DESC, best_rank, candidate_entity_id) AS slot FROM uni),
 cands AS (SELECT * EXCLUDE (slot) FROM slots WHERE slot <= 30)"""
 
-TRUTH = """who AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS id, coalesce(lang, '') AS country, text FROM documents WHERE text IS NOT NULL),
-truth AS (SELECT a.id AS source1_entity_id, b.id AS candidate_entity_id FROM who a JOIN who b USING (country, text) WHERE a.id LIKE 'S1-%' AND b.id NOT LIKE 'S1-%')"""
+TRUTH = """who AS (SELECT doc_id, doc_id % 3 + 1 AS source, coalesce(lang, '') AS country, text FROM documents WHERE text IS NOT NULL),
+firsts AS (SELECT country, text, source, min(doc_id) AS doc_id FROM who WHERE source > 1 GROUP BY ALL),
+truth AS (SELECT 'S1-' || a.doc_id AS source1_entity_id, 'S' || b.source || '-' || b.doc_id AS candidate_entity_id FROM who a JOIN firsts b USING (country, text) WHERE a.source = 1)"""
 
 STUB = """stub0 AS (SELECT *, min(prior_score) OVER (PARTITION BY source1_entity_id) AS lo, max(prior_score) OVER (PARTITION BY source1_entity_id) AS hi FROM cands),
 stub AS (SELECT source1_entity_id, candidate_entity_id, CASE WHEN hi > lo THEN round((prior_score - lo) / (hi - lo), 8) ELSE 0.5 END AS prob FROM stub0)"""

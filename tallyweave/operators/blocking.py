@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAIR = ("source1_entity_id", "candidate_entity_id")
@@ -16,30 +17,55 @@ def ranked(pairs: DataFrame, *order) -> DataFrame:
     return pairs.withColumn("channel_rank", F.least(at, F.lit(65535)))
 
 
+def limit_of(knob: str, value, n: Column) -> Column | None:
+    """A document-frequency limit: a fraction of n (0 to 1, rounded down), a whole number as it is, None for no limit; anything else is refused."""
+    if value is None:
+        return None
+    if isinstance(value, bool) or not isinstance(value, int | float) or (isinstance(value, float) and not 0 < value <= 1):
+        raise ValueError(f"{knob}: {value!r} is neither a fraction, nor a whole number, nor None")
+    return F.lit(value).cast("long") if isinstance(value, int) else F.floor(F.lit(value) * n)
+
+
+#: Parts into which the rows of a key are dealt where a key may hold any share of them.
+SALTS = 16
+
+
+def family_pairs(s1: DataFrame, pool: DataFrame, columns: list[str], max_bucket: int = 1000) -> DataFrame:
+    """(ids, bucket) of the pairs that agree on all these columns, none of them empty, in buckets of up to max_bucket rows on either side; bucket is the pool's.
+
+    Larger buckets are told from counts and dropped, part by part, before any of their rows meet; that
+    limit is the operator's meaning.
+    """
+    keys = ["country", *columns]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        full = reduce(lambda a, b: a & b, [F.col(c) != "" for c in columns])
+        rows = df.where(full).select(*keys, F.col("entity_id").alias(name)).withColumn("salt", F.pmod(F.xxhash64(name), F.lit(SALTS)))
+        large = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > max_bucket).select(*keys, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).alias("salt"))
+        return rows.join(large, [*keys, "salt"], "left_anti").drop("salt")
+
+    right = side(pool, PAIR[1])
+    right = right.join(right.groupBy(*keys).agg(F.count("*").alias("bucket")), keys)
+    return side(s1, PAIR[0]).join(right, keys).select(*PAIR, "bucket")
+
+
 def exact_key(s1: DataFrame, pool: DataFrame, families: list[list[str]], max_bucket: int = 1000) -> DataFrame:
-    """Pairs that agree on all columns of a family, none of them empty, in buckets of up to max_bucket rows on either side.
+    """Pairs that agree on a family of columns (see family_pairs). Score: families that agree; then the smallest bucket.
 
-    Score: families that agree. Bucket counts are aggregated first, so a bucket that is too large is
-    dropped before any of its pairs is made; that limit is the operator's meaning.
+    Null and empty parts make no key; repeated ids count as rows of their bucket and give their pair
+    once; empty tables give no pairs.
     """
-    found = []
-    for i, columns in enumerate(families):
-        keys = ["country", *columns]
-
-        def side(df: DataFrame, name: str) -> DataFrame:
-            full = reduce(lambda a, b: a & b, [F.col(c) != "" for c in columns])
-            rows = df.where(full).select(*keys, F.col("entity_id").alias(name))
-            sizes = rows.groupBy(*keys).agg(F.count("*").alias(f"{name}_bucket"))
-            return rows.join(sizes.where(F.col(f"{name}_bucket") <= max_bucket), keys)
-
-        both = side(s1, "source1_entity_id").join(side(pool, "candidate_entity_id"), keys)
-        found.append(both.select(*PAIR, F.lit(i).alias("family"), F.col("candidate_entity_id_bucket").alias("bucket")))
+    found = [family_pairs(s1, pool, columns, max_bucket).withColumn("family", F.lit(i)) for i, columns in enumerate(families)]
     pairs = reduce(DataFrame.union, found).groupBy(*PAIR).agg(F.countDistinct("family").alias("families"), F.min("bucket").alias("bucket"))
     return ranked(pairs, F.desc("families"), "bucket").select(*PAIR, "channel_rank", F.col("families").cast("double").alias("channel_score"))
 
 
-def rare_token(s1: DataFrame, pool: DataFrame, df_min: int = 2, df_fraction: float = 0.005, df_max: int = 5000, per_entity: int = 3, top: int = 100) -> DataFrame:
-    """Pairs that share one of the per_entity rarest tokens of a source-1 entity; score: how many they share."""
+def rare_token(s1: DataFrame, pool: DataFrame, df_min: int = 2, df_fraction: float | int | None = 0.005, df_max: int = 5000, per_entity: int = 3, top: int = 100) -> DataFrame:
+    """Pairs that share one of the per_entity rarest tokens of a source-1 entity; score: how many they share.
+
+    Records without tokens give no pairs; repeated ids count as records of their own in the frequencies
+    and give a pair once; ties go to the smaller token and the smaller id.
+    """
 
     def long(df: DataFrame) -> DataFrame:
         marked = F.array_union(F.transform("name_tokens", lambda x: F.concat(F.lit("n:"), x)), F.transform("addr_tokens", lambda x: F.concat(F.lit("a:"), x)))
@@ -47,8 +73,10 @@ def rare_token(s1: DataFrame, pool: DataFrame, df_min: int = 2, df_fraction: flo
 
     left, right = long(s1), long(pool)
     total = s1.groupBy("country").count().union(pool.groupBy("country").count()).groupBy("country").agg(F.sum("count").alias("n"))
+    ceiling = limit_of("df_fraction", df_fraction, F.col("n"))
+    ceiling = F.lit(df_max) if ceiling is None else F.least(ceiling, F.lit(df_max))
     df = left.union(right).groupBy("country", "token").agg(F.count("*").alias("df")).join(F.broadcast(total), "country")
-    df = df.where((F.col("df") >= df_min) & (F.col("df") <= F.least(F.floor(F.lit(df_fraction) * F.col("n")), F.lit(df_max)))).select("country", "token", "df")
+    df = df.where((F.col("df") >= df_min) & (F.col("df") <= ceiling)).select("country", "token", "df")
     rarest = F.row_number().over(Window.partitionBy("entity_id").orderBy("df", "token"))
     chosen = left.join(df, ["country", "token"]).withColumn("r", rarest).where(F.col("r") <= per_entity)
     pairs = chosen.select("country", "token", "df", F.col("entity_id").alias("source1_entity_id")).join(right.withColumnRenamed("entity_id", "candidate_entity_id"), ["country", "token"])
@@ -67,24 +95,73 @@ def char_ngrams(df: DataFrame, tokens: str) -> DataFrame:
     return df.select("country", "entity_id", F.explode(F.flatten(pieces)).alias("gram")).groupBy("country", "entity_id", "gram").agg(F.count("*").alias("tf"))
 
 
-def tfidf_top_k(s1: DataFrame, pool: DataFrame, tokens: str = "name_tokens", k: int = 20, df_min: int = 2, df_fraction: float = 0.2) -> DataFrame:
-    """The k most similar pool records of each source-1 record by cosine of character n-gram TF-IDF; grams of a pool df outside the limits don't count."""
-    a, b = char_ngrams(s1, tokens), char_ngrams(pool, tokens)
+def tfidf_weights(s1: DataFrame, pool: DataFrame, tokens: str, df_min: int = 2, df_ceiling=0.01, fallback: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(country, entity_id, gram, w) of both sides, of length 1 for each record: (1 + ln tf) times the gram's idf in the pool.
+
+    Grams of a document frequency under df_min never count. A record whose grams are all over the
+    ceiling keeps the fallback of them that are rarest (ties to the smaller gram), and meets only
+    records of which the same holds: the two kinds share no gram.
+    """
     n = pool.where(F.size(tokens) > 0).groupBy("country").agg(F.count("*").alias("n"))
-    df = b.groupBy("country", "gram").agg(F.count("*").alias("df")).join(F.broadcast(n), "country")
-    df = df.where((F.col("df") >= df_min) & (F.col("df") <= F.floor(F.lit(df_fraction) * F.col("n"))))
-    df = df.select("country", "gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    sides = [char_ngrams(x, tokens) for x in (s1, pool)]
+    df = sides[1].groupBy("country", "gram").agg(F.count("*").alias("df")).where(F.col("df") >= df_min).join(F.broadcast(n), "country")
+    ceiling = limit_of("df_ceiling", df_ceiling, F.col("n"))
+    df = df.select("country", "gram", "df", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"), (F.lit(True) if ceiling is None else F.col("df") <= ceiling).alias("core"))
+    record = Window.partitionBy("country", "entity_id")
+
+    def weighted(side: DataFrame) -> DataFrame:
+        rows = side.join(df, ["country", "gram"]).withColumns({"any": F.max("core").over(record), "nth": F.row_number().over(record.orderBy("core", "df", "gram"))})
+        kept = rows.where(F.col("core") | (~F.col("any") & (F.col("nth") <= fallback))).withColumn("w", (F.log("tf") + 1) * F.col("idf"))
+        return kept.select("country", "entity_id", "gram", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(record))).alias("w"), "core")
+
+    return weighted(sides[0]), weighted(sides[1])
 
-    def weights(side: DataFrame, name: str) -> DataFrame:
-        w = side.join(df, ["country", "gram"]).withColumn("w", (F.log("tf") + 1) * F.col("idf"))
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("entity_id")))
-        return w.select("country", "gram", F.col("entity_id").alias(name), (F.col("w") / norm).alias(f"{name}_w"))
 
-    both = weights(a, "source1_entity_id").join(weights(b, "candidate_entity_id"), ["country", "gram"])
-    pairs = both.groupBy(*PAIR).agg(F.round(F.sum(F.col("source1_entity_id_w") * F.col("candidate_entity_id_w")), 8).alias("channel_score"))
+def tfidf_top_k(s1: DataFrame, pool: DataFrame, tokens: str = "name_tokens", k: int = 20, df_min: int = 2, df_ceiling=0.01, fallback: int = 5) -> DataFrame:
+    """The k most similar pool records of each source-1 record by cosine of character n-gram TF-IDF (tfidf_weights); only pairs that share a gram.
+
+    Records without tokens give no pairs; rows that repeat an id are one record; ties go to the smaller
+    candidate id; empty tables give no pairs.
+    """
+    a, b = tfidf_weights(s1, pool, tokens, df_min, df_ceiling, fallback)
+    side = lambda x, name: x.select("country", "gram", "core", F.col("entity_id").alias(name), F.col("w").alias(f"{name}_w"))
+    both = side(a, PAIR[0]).join(side(b, PAIR[1]), ["country", "gram", "core"])
+    pairs = both.groupBy(*PAIR).agg(F.round(F.sum(F.col(f"{PAIR[0]}_w") * F.col(f"{PAIR[1]}_w")), 8).alias("channel_score"))
     return ranked(pairs, F.desc("channel_score")).where(F.col("channel_rank") <= k).select(*PAIR, "channel_rank", "channel_score")
 
 
+def tfidf_channel(s1: DataFrame, pool: DataFrame, field: str = "name", **more) -> DataFrame:
+    """TF-IDF over the tokens of names or of addresses."""
+    if field not in ("name", "addr"):
+        raise ValueError(f"no field {field!r}")
+    return tfidf_top_k(s1, pool, f"{field}_tokens", **more)
+
+
+def embedding_channel(pairs: DataFrame, s1: DataFrame, pool: DataFrame, top: int = 20) -> DataFrame:
+    """The pairs of an embedding search up to rank top, of entities and records that are in these tables."""
+    known = lambda df, name: df.select(F.col("entity_id").alias(name)).distinct()
+    kept = pairs.where(F.col("channel_rank") <= top).join(known(s1, PAIR[0]), PAIR[0], "left_semi").join(known(pool, PAIR[1]), PAIR[1], "left_semi")
+    return kept.select(*PAIR, "channel_rank", F.col("channel_score").cast("double").alias("channel_score"))
+
+
+#: Channels by name: functions of source 1, the pool and their own options that give ids, channel_rank and channel_score, each pair once. More can be registered.
+CHANNELS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def register(name: str, channel: Callable[..., DataFrame]) -> None:
+    CHANNELS[name] = channel
+
+
+def run_channel(name: str, s1: DataFrame, pool: DataFrame, **options) -> DataFrame:
+    """The pairs of a registered channel; unknown names and results of other columns are refused."""
+    if name not in CHANNELS:
+        raise ValueError(f"no channel {name!r}; there are {sorted(CHANNELS)}")
+    out = CHANNELS[name](s1, pool, **options)
+    if tuple(out.columns) != (*PAIR, "channel_rank", "channel_score"):
+        raise ValueError(f"channel {name!r} gives {out.columns}")
+    return out
+
+
 def union(channels: list[tuple[int, DataFrame]]) -> DataFrame:
     """One row for each pair: channels (bits), n_channels, best_rank, prior_score (sum of 1 / rank), from (bit, pairs) of each channel."""
     long = reduce(DataFrame.union, [df.select(*PAIR, F.lit(bit).alias("bit"), "channel_rank") for bit, df in channels])
@@ -95,3 +172,17 @@ def cap(candidates: DataFrame, n: int = 30) -> DataFrame:
     """The n candidates of each entity with the highest prior score, then most channels, then best rank, then smallest id."""
     at = F.row_number().over(Window.partitionBy("source1_entity_id").orderBy(F.desc("prior_score"), F.desc("n_channels"), "best_rank", "candidate_entity_id"))
     return candidates.withColumn("slot", at).where(F.col("slot") <= n).drop("slot")
+
+
+register("name_tfidf", lambda s1, pool, **more: tfidf_channel(s1, pool, "name", **more))
+register("addr_tfidf", lambda s1, pool, **more: tfidf_channel(s1, pool, "addr", **more))
+register("exact_key", exact_key)
+register("rare_token", rare_token)
+register("embed_ann", lambda s1, pool, **more: embedding_channel(s1=s1, pool=pool, **more))
+
+
+def channel_stats(pairs: DataFrame, s1: DataFrame) -> DataFrame:
+    """By country: entities, pairs, entities with a pair, and pairs that occur twice (0 in a right channel)."""
+    counts = pairs.groupBy(*PAIR).agg(F.count("*").alias("n")).groupBy(PAIR[0]).agg(F.count("*").alias("n"), F.sum((F.col("n") > 1).cast("int")).alias("twice"))
+    rows = s1.select("country", F.col("entity_id").alias(PAIR[0])).join(counts, PAIR[0], "left")
+    return rows.groupBy("country").agg(F.count("*").alias("entities"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.count("n").alias("with_pair"), F.coalesce(F.sum("twice"), F.lit(0)).alias("twice"))

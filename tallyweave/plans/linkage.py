@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions import kernels, text
 from tallyweave.operators import blocking, checks, matching
 from tallyweave.sources import records
+from tallyweave.sources.work import written
 
 FAMILIES = [["name_norm"], ["name_acronym", "addr_norm"]]
 CAPS = [1, 2, 3, 5, 10, 30]
@@ -18,28 +19,30 @@ def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source-1 and pool documents of one language with the same text."""
+    """Each source-1 document with the first document of sources 2 and 3 that has its language and text: as many pairs as documents, however many copies there are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), F.sha2("text", 256).alias("h"))
-    who = docs.select(F.concat(F.lit("S"), (F.pmod("doc_id", F.lit(3)) + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("id"), "country", "h")
-    s1 = who.where("id like 'S1-%'").withColumnRenamed("id", "source1_entity_id")
-    return s1.join(who.where("id not like 'S1-%'").withColumnRenamed("id", "candidate_entity_id"), ["country", "h"]).select("source1_entity_id", "candidate_entity_id")
+    who = docs.select("doc_id", (F.pmod("doc_id", F.lit(3)) + 1).alias("source"), "country", "h")
+    name = F.concat(F.lit("S"), F.col("source").cast("string"), F.lit("-"), F.col("doc_id").cast("string"))
+    first = who.where("source > 1").groupBy("country", "h", "source").agg(F.min("doc_id").alias("doc_id")).select("country", "h", name.alias("candidate_entity_id"))
+    return who.where("source = 1").select("country", "h", name.alias("source1_entity_id")).join(first, ["country", "h"]).select("source1_entity_id", "candidate_entity_id")
+
+
+#: Options of the channels on the test tables.
+OPTIONS = {"exact_key": {"families": FAMILIES}, "rare_token": {"df_fraction": 0.05}, "name_tfidf": {"k": 5}}
+BITS = {"name_tfidf": 1, "exact_key": 4, "rare_token": 8}
 
 
 def channel(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        s1, pool = records.sides(norm(spark, sf_dir))
-        if name == "exact":
-            return blocking.exact_key(s1, pool, FAMILIES)
-        if name == "rare":
-            return blocking.rare_token(s1, pool, df_fraction=0.05)
-        return blocking.tfidf_top_k(s1, pool, k=5)
+        return blocking.run_channel(name, *records.sides(norm(spark, sf_dir)), **OPTIONS[name])
 
     return run
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [(1, channel("tfidf")(spark, sf_dir)), (4, channel("exact")(spark, sf_dir)), (8, channel("rare")(spark, sf_dir))]
-    return blocking.cap(blocking.union(found))
+    """Union and cap of all channels; the records are normalised once."""
+    s1, pool = records.sides(written(norm(spark, sf_dir)))
+    return blocking.cap(blocking.union([(bit, blocking.run_channel(name, s1, pool, **OPTIONS[name])) for name, bit in BITS.items()]))
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +77,7 @@ def contextual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.set_similarities(channel("exact")(spark, sf_dir).union(channel("rare")(spark, sf_dir)).select(*blocking.PAIR).distinct(), norm(spark, sf_dir))
+    return matching.set_similarities(channel("exact_key")(spark, sf_dir).union(channel("rare_token")(spark, sf_dir)).select(*blocking.PAIR).distinct(), norm(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +111,7 @@ def match_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities = norm(spark, sf_dir).where("entity_id like 'S1-%'").select(F.col("entity_id").alias("source1_entity_id"), "country")
-    return matching.per_entity(entities, truth(spark, sf_dir), channel("exact")(spark, sf_dir))
+    return matching.per_entity(entities, truth(spark, sf_dir), channel("exact_key")(spark, sf_dir))
 
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +158,7 @@ def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact-key pairs checked as matches against the TF-IDF candidates."""
     s1, pool = records.sides(norm(spark, sf_dir))
     ids = s1.where(F.col("country") != "es").withColumnRenamed("entity_id", "source1_entity_id")
-    return checks.violations(ids, pool.where(F.col("country") != "fr"), channel("tfidf")(spark, sf_dir), channel("exact")(spark, sf_dir))
+    return checks.violations(ids, pool.where(F.col("country") != "fr"), channel("name_tfidf")(spark, sf_dir), channel("exact_key")(spark, sf_dir))
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:

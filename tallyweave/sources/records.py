@@ -33,13 +33,13 @@ def read_id_lists(rows: DataFrame, column: str = "matched_entity_ids") -> DataFr
 
 
 def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records from documents: doc_id mod 3 gives the source, the first six words the name, the next eight the address, lang the country."""
+    """Records from documents: doc_id mod 3 gives the source, the first six words the name, all that follow the address, lang the country."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     w = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
     rows = docs.select("doc_id", w.alias("w"), F.coalesce("lang", F.lit("")).alias("country"))
     return rows.select(
         F.concat(F.lit("S"), (F.pmod("doc_id", F.lit(3)) + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.array_join(F.slice("w", 1, 6), " ").alias("business_name"), F.array_join(F.slice("w", 7, 8), " ").alias("business_address"), "country",
+        F.array_join(F.slice("w", 1, 6), " ").alias("business_name"), F.array_join(F.slice("w", F.lit(7), F.greatest(F.size("w") - 6, F.lit(0))), " ").alias("business_address"), "country",
     )
 
 
