@@ -87,8 +87,8 @@ pd AS (SELECT pe.*, best_ef, empty_ef, CASE WHEN empty_ef >= best_ef THEN 0 ELSE
 EVAL = f"""{REC}, {EXACT}, {TRUTH},
 tp_ AS (SELECT source1_entity_id, candidate_entity_id, 1 AS t, 0 AS p FROM truth UNION ALL SELECT source1_entity_id, candidate_entity_id, 0, 1 FROM exact),
 tq AS (SELECT source1_entity_id, candidate_entity_id, max(t) AS t, max(p) AS p FROM tp_ GROUP BY ALL),
-tc AS (SELECT source1_entity_id, sum(t)::BIGINT AS k, sum(p)::BIGINT AS m, sum(t * p)::BIGINT AS c FROM tq GROUP BY ALL),
-e0 AS (SELECT entity_id AS source1_entity_id, country, coalesce(k, 0) AS k, coalesce(m, 0) AS m, coalesce(c, 0) AS c FROM norm LEFT JOIN tc ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%'),
+tc AS (SELECT source1_entity_id, sum(t)::BIGINT AS k, sum(p)::BIGINT AS m, sum(t * p)::BIGINT AS c, sum(t * p)::BIGINT AS k_in_cand FROM tq GROUP BY ALL),
+e0 AS (SELECT entity_id AS source1_entity_id, country, coalesce(k, 0) AS k, coalesce(m, 0) AS m, coalesce(c, 0) AS c, coalesce(k_in_cand, 0) AS k_in_cand FROM norm LEFT JOIN tc ON entity_id = source1_entity_id WHERE entity_id LIKE 'S1-%'),
 ent AS (SELECT *, round(CASE WHEN k = 0 THEN CASE WHEN m = 0 THEN 1.0 ELSE 0.0 END WHEN m = 0 THEN 0.0 ELSE 1.25::DOUBLE * c / (0.25::DOUBLE * k + m) END, 8)::DOUBLE AS f05 FROM e0)"""
 
 LABELLED = f"{EVENTS}, lab AS (SELECT *, CASE WHEN substr(candidate_entity_id, 4, 5)::INTEGER % 3 = 0 THEN 1 ELSE 0 END AS label FROM ev)"
@@ -132,7 +132,8 @@ ORACLES = {
       SELECT source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM (SELECT DISTINCT source1_entity_id FROM ev) LEFT JOIN l USING (source1_entity_id)""",
     "macro_f05": f"WITH {EVAL} SELECT * FROM ent",
     "f05_breakdown": f"""WITH {EVAL}, b AS (SELECT *, CASE WHEN k <= 0 THEN '0' WHEN k <= 1 THEN '1' WHEN k <= 3 THEN '2-3' WHEN k <= 5 THEN '4-5' ELSE '6+' END AS k_bucket FROM ent)
-      SELECT country, k_bucket, count(*) AS entities, round(avg(f05), 6) AS macro_f05, round(sum(c)::DOUBLE / nullif(sum(m), 0), 6) AS "precision", round(sum(c)::DOUBLE / nullif(sum(k), 0), 6) AS recall
+      SELECT country, k_bucket, count(*) AS entities, round(avg(f05), 6) AS macro_f05, round(sum(c)::DOUBLE / nullif(sum(m), 0), 6) AS "precision", round(sum(c)::DOUBLE / nullif(sum(k), 0), 6) AS recall,
+      round(sum(k_in_cand)::DOUBLE / nullif(sum(k), 0), 6) AS blocking_recall, round(avg(m), 6) AS mean_predicted, round(count_if(k = 0 AND m = 0)::DOUBLE / nullif(count_if(k = 0), 0), 6) AS singleton_accuracy
       FROM b GROUP BY GROUPING SETS ((), (country), (k_bucket))""",
     "hard_negatives": f"""WITH {LABELLED}, h AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, label ORDER BY prob DESC, candidate_entity_id) AS nth, sum(label) OVER (PARTITION BY source1_entity_id) AS n_pos FROM lab)
       SELECT source1_entity_id, candidate_entity_id, label FROM h WHERE label = 1 OR nth <= greatest(ceil(2.0 * n_pos), 3)""",

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.sources.work import written
+
 
 def quotas(entities: DataFrame, total: int) -> DataFrame:
     """(country, n, quota): total dealt over the countries in proportion, the rest to the largest remainders, ties in country order; all rows if total is their number or more."""
@@ -31,3 +37,37 @@ def violations(ids: DataFrame, pool: DataFrame, candidates: DataFrame, matches:
         rows = rows.select(F.lit(rule).alias("rule"), *pair)
         out = rows if out is None else out.union(rows)
     return out
+
+
+def runs(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """One row for each run of rows of one key in the order of a whole-number column: key, first, last, n. Null orders are left out; equal ones stand in the order of the key.
+
+    Rows are dealt by ranges of the order; only the first and last run of each range can go on in the
+    next one, so only those are put together in one place.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, held, first = TaskContext.get().partitionId(), None, True
+        for batch in batches:
+            change = (batch["k"] != batch["k"].shift()).cumsum()
+            found = batch.groupby(change).agg(k=("k", "first"), first=("o", "min"), last=("o", "max"), n=("o", "size")).reset_index(drop=True)
+            if held is not None:
+                if held["k"].iloc[0] == found["k"].iloc[0]:
+                    found.loc[0, ["first", "n"]] = [held["first"].iloc[0], held["n"].iloc[0] + found["n"].iloc[0]]
+                else:
+                    found = pd.concat([held, found], ignore_index=True)
+            held, done = found.tail(1).reset_index(drop=True), found.head(len(found) - 1)
+            if len(done):
+                yield done.assign(part=part, border=[first, *[False] * (len(done) - 1)])
+                first = False
+        if held is not None:
+            yield held.assign(part=part, border=True)
+
+    dealt = rows.where(F.col(order).isNotNull()).select(F.col(key).alias("k"), F.col(order).cast("long").alias("o")).repartitionByRange("o").sortWithinPartitions("o", "k")
+    pieces = written(dealt.mapInPandas(work, f"k {kind}, first long, last long, n long, part int, border boolean"))
+    seen = Window.orderBy("part", "first")
+    same = F.lag("k").over(seen).eqNullSafe(F.col("k")) & (F.lag("part").over(seen) != F.col("part"))
+    marked = pieces.where("border").withColumn("fresh", F.when(same, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(seen.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = marked.groupBy("run").agg(F.first("k").alias("k"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).drop("run")
+    return joined.union(pieces.where("not border").select("k", "first", "last", "n")).withColumnRenamed("k", key)

@@ -66,25 +66,52 @@ def f05(c: Column, k: Column, m: Column) -> Column:
     return F.when(k == 0, F.when(m == 0, 1.0).otherwise(0.0)).when(m == 0, 0.0).otherwise(1.25 * c / (0.25 * k + m))
 
 
-def per_entity(entities: DataFrame, truth: DataFrame, predicted: DataFrame) -> DataFrame:
-    """k true, m predicted, c right and their F0.5 for each source1_entity_id of entities."""
-    both = truth.select(*PAIR, F.lit(1).alias("t"), F.lit(0).alias("p")).union(predicted.select(*PAIR, F.lit(0), F.lit(1)))
-    pairs = both.groupBy(*PAIR).agg(F.max("t").alias("t"), F.max("p").alias("p"))
-    counts = pairs.groupBy("source1_entity_id").agg(F.sum("t").alias("k"), F.sum("p").alias("m"), F.sum(F.col("t") * F.col("p")).alias("c"))
-    rows = entities.join(counts, "source1_entity_id", "left").na.fill(0, ["k", "m", "c"])
+def per_entity(entities: DataFrame, truth: DataFrame, predicted: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """k true, m predicted, c right, k_in_cand true among candidates (those predicted, if none are given) and F0.5 of each source1_entity_id of entities. Repeated pairs count once, pairs of other entities not at all."""
+    side = lambda df, *flags: df.select(*PAIR, *[F.lit(x).alias(n) for n, x in zip("tpx", flags, strict=True)])
+    both = side(truth, 1, 0, 0).union(side(predicted, 0, 1, 0)).union(side(predicted if candidates is None else candidates, 0, 0, 1))
+    pairs = both.groupBy(*PAIR).agg(*[F.max(n).alias(n) for n in "tpx"])
+    counts = pairs.groupBy("source1_entity_id").agg(F.sum("t").alias("k"), F.sum("p").alias("m"), F.sum(F.col("t") * F.col("p")).alias("c"), F.sum(F.col("t") * F.col("x")).alias("k_in_cand"))
+    rows = entities.join(counts, "source1_entity_id", "left").na.fill(0, ["k", "m", "c", "k_in_cand"])
     return rows.withColumn("f05", F.round(f05(F.col("c"), F.col("k"), F.col("m")), 8))
 
 
+def require_predictions(entities: DataFrame, answered: DataFrame) -> None:
+    """Refuses entities without a row among those answered (an empty answer is a row)."""
+    missing = entities.select("source1_entity_id").distinct().join(answered.select("source1_entity_id").distinct(), "source1_entity_id", "left_anti")
+    if first := missing.orderBy("source1_entity_id").first():
+        raise ValueError(f"no prediction for {missing.count()} entities, first {first[0]}")
+
+
+def macro_f05(entities: DataFrame, truth: DataFrame, lists: DataFrame, column: str = "matched_entity_ids") -> float | None:
+    """Mean F0.5 of the entities whose answers are comma lists; an entity without a list is an error."""
+    from tallyweave.sources.records import read_id_lists
+
+    require_predictions(entities, lists)
+    return per_entity(entities, truth, read_id_lists(lists, column)).agg(F.avg("f05")).first()[0]
+
+
+def restricted(entities: DataFrame, held_out: DataFrame, scored: DataFrame) -> DataFrame:
+    """Entities that are held out and have scores."""
+    for other in (held_out, scored):
+        entities = entities.join(other.select(F.col(other.columns[0]).alias("source1_entity_id")).distinct(), "source1_entity_id", "left_semi")
+    return entities
+
+
 def breakdown(rows: DataFrame) -> DataFrame:
-    """Entities, macro F0.5, micro precision and recall overall, by country and by number of true matches, in one aggregation."""
+    """Entities, macro F0.5, micro precision and recall, recall of blocking, mean number predicted, and how many entities without a true match were left alone: overall, by country and by number of true matches, in one aggregation. Shares of nothing are null."""
     bucket = F.when(F.col("k") <= 0, "0").when(F.col("k") <= 1, "1").when(F.col("k") <= 3, "2-3").when(F.col("k") <= 5, "4-5").otherwise("6+")
     rows = rows.withColumn("k_bucket", bucket)
     sets = rows.groupingSets([[], [F.col("country")], [F.col("k_bucket")]], "country", "k_bucket")
-    return sets.agg(F.count("*").alias("entities"), F.round(F.avg("f05"), 6).alias("macro_f05"), F.round(F.try_divide(F.sum("c"), F.sum("m")), 6).alias("precision"), F.round(F.try_divide(F.sum("c"), F.sum("k")), 6).alias("recall"))
+    share = lambda a, b, name: F.round(F.try_divide(a, b), 6).alias(name)
+    return sets.agg(
+        F.count("*").alias("entities"), F.round(F.avg("f05"), 6).alias("macro_f05"), share(F.sum("c"), F.sum("m"), "precision"), share(F.sum("c"), F.sum("k"), "recall"),
+        share(F.sum("k_in_cand"), F.sum("k"), "blocking_recall"), F.round(F.avg("m"), 6).alias("mean_predicted"), share(F.count_if((F.col("k") == 0) & (F.col("m") == 0)), F.count_if(F.col("k") == 0), "singleton_accuracy"),
+    )
 
 
 def hard_negatives(rows: DataFrame, ratio: float = 2.0, least: int = 3) -> DataFrame:
-    """All positives (label 1) and for each entity its ratio times as many negatives, least or more, with the highest prior score."""
+    """All positives (label 1) and for each entity its ratio times as many negatives, least or more, with the highest prior score; ties to the smaller candidate id, repeated rows count as rows."""
     order = Window.partitionBy("source1_entity_id", "label").orderBy(F.desc("prior_score"), "candidate_entity_id")
     marked = rows.withColumns({"nth": F.row_number().over(order), "n_pos": F.sum("label").over(Window.partitionBy("source1_entity_id"))})
     return marked.where((F.col("label") == 1) | (F.col("nth") <= F.greatest(F.ceil(F.lit(ratio) * F.col("n_pos")), F.lit(least)))).drop("nth", "n_pos")

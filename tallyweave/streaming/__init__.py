@@ -1 +1 @@
-"""Part of the linkage engine."""
+"""Linkage of records as they arrive."""

@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweave import catalog
+from tallyweave import catalog, catalog_party
 from tallyweave.functions import text
 from tallyweave.operators import blocking, matching
 from tallyweave.sources import records
@@ -19,15 +19,18 @@ def plain(v):
     return tuple(map(plain, v)) if isinstance(v, list | tuple) else v
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+QUERIES, ORACLES = catalog.QUERIES | catalog_party.QUERIES, catalog.ORACLES | catalog_party.ORACLES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
         con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
-    df = catalog.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     got = Counter(tuple(plain(r[c]) for c in columns) for r in df.collect())
-    rel = con.execute(catalog.ORACLES[name])
+    rel = con.execute(ORACLES[name])
     names = [c[0] for c in rel.description]
     assert sorted(names) == columns
     assert got == Counter(tuple(plain(r[names.index(c)]) for c in columns) for r in rel.fetchall())
