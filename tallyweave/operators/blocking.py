@@ -183,6 +183,6 @@ register("embed_ann", lambda s1, pool, **more: embedding_channel(s1=s1, pool=poo
 
 def channel_stats(pairs: DataFrame, s1: DataFrame) -> DataFrame:
     """By country: entities, pairs, entities with a pair, and pairs that occur twice (0 in a right channel)."""
-    counts = pairs.groupBy(*PAIR).agg(F.count("*").alias("n")).groupBy(PAIR[0]).agg(F.count("*").alias("n"), F.sum((F.col("n") > 1).cast("int")).alias("twice"))
+    counts = pairs.groupBy(*PAIR).agg(F.count("*").alias("n")).groupBy(PAIR[0]).agg(F.sum((F.col("n") > 1).cast("int")).alias("twice"), F.sum("n").alias("n"))
     rows = s1.select("country", F.col("entity_id").alias(PAIR[0])).join(counts, PAIR[0], "left")
     return rows.groupBy("country").agg(F.count("*").alias("entities"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.count("n").alias("with_pair"), F.coalesce(F.sum("twice"), F.lit(0)).alias("twice"))

@@ -50,10 +50,12 @@ def runs(rows: DataFrame, key: str, order: str) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, held, first = TaskContext.get().partitionId(), None, True
         for batch in batches:
-            change = (batch["k"] != batch["k"].shift()).cumsum()
+            before = batch["k"].shift()
+            change = ((batch["k"] != before) & ~(batch["k"].isna() & before.isna())).cumsum()
             found = batch.groupby(change).agg(k=("k", "first"), first=("o", "min"), last=("o", "max"), n=("o", "size")).reset_index(drop=True)
             if held is not None:
-                if held["k"].iloc[0] == found["k"].iloc[0]:
+                a, b = held["k"].iloc[0], found["k"].iloc[0]
+                if a == b or (pd.isna(a) and pd.isna(b)):
                     found.loc[0, ["first", "n"]] = [held["first"].iloc[0], held["n"].iloc[0] + found["n"].iloc[0]]
                 else:
                     found = pd.concat([held, found], ignore_index=True)

@@ -54,15 +54,15 @@ def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str,
 
     def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"source1_entity_id": [], "candidate_entity_id": [], "channel_score": []})
+            return pd.DataFrame({n: pd.Series([], dtype=object if i < 2 else float) for i, n in enumerate((*PAIR, "channel_score"))})
         b = b.sort_values("entity_id", kind="stable")
-        x, y, ids, out = unit(a), unit(b), b["entity_id"].to_numpy(), []
+        x, y, names, ids, out = unit(a), unit(b), a["entity_id"].to_numpy(object), b["entity_id"].to_numpy(object), []
         for start in range(0, len(a), 1024):
             scores = np.round(x[start : start + 1024] @ y.T / len(sizes), digits)
             order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            who = np.repeat(a["entity_id"].to_numpy()[start : start + 1024], order.shape[1])
-            out.append(pd.DataFrame({"source1_entity_id": who, "candidate_entity_id": ids[order.ravel()], "channel_score": np.take_along_axis(scores, order, axis=1).ravel()}))
-        return pd.concat(out)
+            out.append((np.repeat(names[start : start + 1024], order.shape[1]), ids[order.ravel()], np.take_along_axis(scores, order, axis=1).ravel()))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pd.DataFrame({n: pd.Series(c, dtype=object if i < 2 else float) for i, (n, c) in enumerate(zip((*PAIR, "channel_score"), columns, strict=True))})
 
     keys = ["shard", "q", "p", *sizes]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, schema)

@@ -20,6 +20,16 @@ def lines_of(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(before), "block").select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "raw")
 
 
+def has_mark(spark: SparkSession, path: str) -> bool:
+    """Whether a file begins with a byte-order mark, which Spark's reader passes over."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(at)
+    try:
+        return [file.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    finally:
+        file.close()
+
+
 def format_rules(kind: str) -> list[tuple[str, Column]]:
     """Rules of a line in the order in which they are judged: name, and where it is broken. Needs line, raw, first_line (of its query id)."""
     raw, want = F.col("raw"), "\t".join(HEADERS[kind])
@@ -31,7 +41,7 @@ def format_rules(kind: str) -> list[tuple[str, Column]]:
     some = lambda broken: listed & F.exists(ids, broken)
     bare = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     return [
-        ("CR line ending", raw.contains("\r")), ("not UTF-8", raw.contains("�")), ("byte-order mark", head & raw.startswith("﻿")),
+        ("CR line ending", raw.contains("\r")), ("not UTF-8", ~F.is_valid_utf8(raw)), ("byte-order mark", head & raw.startswith("﻿")),
         ("comma-separated", head & ~raw.contains("\t") & raw.contains(",")), ("index column", head & raw.endswith("\t" + want) & (tabs == 2)), ("wrong header", head & (raw != want)),
         ("quoted field", body & raw.contains('"')), ("blank line", body & (tabs == 0) & (bare(raw) == "")), ("wrong column count", body & (tabs != 1)),
         ("whitespace in query ID", body & (query != bare(query))), ("query ID prefix", body & ~query.startswith("S1-")), ("duplicate row", body & (F.col("line") > F.col("first_line"))),
@@ -75,6 +85,8 @@ def check_submission(spark: SparkSession, matching: str, s1_ids: DataFrame, pool
     for kind, path in (("matching", matching), ("candidate", candidate)):
         if path is None:
             continue
+        if has_mark(spark, path):
+            raise ValueError(f"{kind}, line 1: byte-order mark")
         lines = lines_of(spark, path)
         if bad := format_violations(lines, kind).orderBy("line").first():
             raise ValueError(f"{kind}, line {bad['line']}: {bad['rule']}")

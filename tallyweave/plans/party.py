@@ -131,7 +131,7 @@ def channel_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def channel_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates by country, a column for each number of channels that found them."""
     rows = linkage.candidates(spark, sf_dir).join(entities_of(spark, sf_dir), PAIR[0])
-    return rows.groupBy("country").pivot("n_channels", [1, 2, 3]).agg(F.count("*")).na.fill(0).select("country", *[F.col(str(i)).alias(f"by_{i}") for i in (1, 2, 3)])
+    return rows.groupBy("country").pivot("n_channels", [1, 2, 3]).agg(F.count(F.lit(1))).na.fill(0).select("country", *[F.col(str(i)).alias(f"by_{i}") for i in (1, 2, 3)])
 
 
 def channel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
