@@ -163,13 +163,13 @@ def run_channel(name: str, s1: DataFrame, pool: DataFrame, **options) -> DataFra
 
 
 def union(channels: list[tuple[int, DataFrame]]) -> DataFrame:
-    """One row for each pair: channels (bits), n_channels, best_rank, prior_score (sum of 1 / rank), from (bit, pairs) of each channel."""
+    """One row for each pair: channels (bits), n_channels, best_rank, prior_score (sum of 1 / rank), from (bit, pairs) of each channel. A channel gives each pair once; channels without pairs add nothing."""
     long = reduce(DataFrame.union, [df.select(*PAIR, F.lit(bit).alias("bit"), "channel_rank") for bit, df in channels])
     return long.groupBy(*PAIR).agg(F.bit_or("bit").alias("channels"), F.count("*").alias("n_channels"), F.min("channel_rank").alias("best_rank"), F.round(F.sum(1 / F.col("channel_rank")), 8).alias("prior_score"))
 
 
 def cap(candidates: DataFrame, n: int = 30) -> DataFrame:
-    """The n candidates of each entity with the highest prior score, then most channels, then best rank, then smallest id."""
+    """The n candidates of each entity with the highest prior score, then most channels, then best rank, then smallest id; null scores come last. No candidates give no rows."""
     at = F.row_number().over(Window.partitionBy("source1_entity_id").orderBy(F.desc("prior_score"), F.desc("n_channels"), "best_rank", "candidate_entity_id"))
     return candidates.withColumn("slot", at).where(F.col("slot") <= n).drop("slot")
 

@@ -13,7 +13,7 @@ from tallyweave.sources.work import written
 
 
 def quotas(entities: DataFrame, total: int) -> DataFrame:
-    """(country, n, quota): total dealt over the countries in proportion, the rest to the largest remainders, ties in country order; all rows if total is their number or more."""
+    """(country, n, quota): total dealt over the countries in proportion, the rest to the largest remainders, ties in country order; all rows if total is their number or more. Rows that repeat an id count as rows, null countries as one country; an empty table gives no quotas."""
     counts = entities.groupBy("country").agg(F.count("*").alias("n"))
     # One row for each country.
     every = Window.partitionBy()
@@ -26,7 +26,7 @@ def quotas(entities: DataFrame, total: int) -> DataFrame:
 
 
 def violations(ids: DataFrame, pool: DataFrame, candidates: DataFrame, matches: DataFrame) -> DataFrame:
-    """(rule, source1_entity_id, candidate_entity_id) of what breaks a rule: an unknown query or pool id, a match that is no candidate, a record matched twice."""
+    """(rule, source1_entity_id, candidate_entity_id) of what breaks a rule: an unknown query or pool id, a match that is no candidate, a record matched twice. A row may break several rules and then stands under each; repeated matches are matched twice; empty tables break nothing but what the others lack."""
     pair = ["source1_entity_id", "candidate_entity_id"]
     known = ids.select("source1_entity_id").distinct()
     there = pool.select(F.col("entity_id").alias("candidate_entity_id")).distinct()

@@ -11,7 +11,11 @@ PAIR = ("source1_entity_id", "candidate_entity_id")
 
 
 def context(candidates: DataFrame) -> DataFrame:
-    """Candidates with what their entity and their record have elsewhere: best score and count of each, margin, and whether this claim is the record's best."""
+    """Candidates with what their entity and their record have elsewhere: best score and count of each, margin, and whether this claim is the record's best.
+
+    Equal scores are all best; repeated candidates count as often as they stand; null scores are passed
+    over by the best and have null margins; an empty table stays empty.
+    """
     entity, record = Window.partitionBy("source1_entity_id"), Window.partitionBy("candidate_entity_id")
     rows = candidates.withColumns({"entity_best": F.max("prior_score").over(entity), "entity_n_cands": F.count("*").over(entity), "cand_best_score": F.max("prior_score").over(record), "cand_n_claims": F.count("*").over(record)})
     return rows.withColumns({
@@ -21,16 +25,21 @@ def context(candidates: DataFrame) -> DataFrame:
 
 
 def set_similarities(pairs: DataFrame, norm: DataFrame) -> DataFrame:
-    """Token and character set similarities of the names of each pair, rounded to 8 places."""
-    side = lambda p: norm.select(F.col("entity_id").alias(f"{p}_id"), F.col("name_norm").alias(f"{p}_name"), F.col("name_tokens").alias(f"{p}_tokens"))
+    """Token and character set similarities of the names of each pair, rounded to 8 places.
+
+    A side without tokens or characters makes its similarities 0, and null names count as empty; pairs
+    of unknown records give no row; repeated pairs stay. Grams are made once for each record.
+    """
+    name, words = F.coalesce("name_norm", F.lit("")), F.coalesce("name_tokens", F.array().cast("array<string>"))
+    side = lambda p: norm.select(F.col("entity_id").alias(f"{p}_id"), name.alias(f"{p}_name"), words.alias(f"{p}_tokens"), char_grams(name, 3).alias(f"{p}_grams"))
     rows = pairs.select(*PAIR).join(side("a"), F.col("source1_entity_id") == F.col("a_id")).join(side("b"), F.col("candidate_entity_id") == F.col("b_id"))
     a, b, x, y = (F.col(c) for c in ("a_name", "b_name", "a_tokens", "b_tokens"))
     r = lambda c, name: F.round(c, 8).alias(name)
-    return rows.select(*PAIR, r(jaccard(x, y), "token_jaccard"), r(containment(x, y), "token_containment"), r(jaccard(char_grams(a, 3), char_grams(b, 3)), "char3_jaccard"), r(prefix_ratio(a, b), "prefix_ratio"), r(length_ratio(a, b), "length_ratio"))
+    return rows.select(*PAIR, r(jaccard(x, y), "token_jaccard"), r(containment(x, y), "token_containment"), r(jaccard(F.col("a_grams"), F.col("b_grams")), "char3_jaccard"), r(prefix_ratio(a, b), "prefix_ratio"), r(length_ratio(a, b), "length_ratio"))
 
 
 def stub_scores(candidates: DataFrame) -> DataFrame:
-    """prob: prior_score on a scale from 0 to 1 within its entity; 0.5 where all are equal."""
+    """prob: prior_score on a scale from 0 to 1 within its entity; 0.5 where all are equal or null. Repeated rows stay; an empty table stays empty."""
     entity = Window.partitionBy("source1_entity_id")
     low, high = F.min("prior_score").over(entity), F.max("prior_score").over(entity)
     rows = candidates.withColumns({"low": low, "high": high})
@@ -38,7 +47,7 @@ def stub_scores(candidates: DataFrame) -> DataFrame:
 
 
 def unique_claims(scored: DataFrame) -> DataFrame:
-    """Each record stays with the entity that claims it with the highest probability; ties to the smaller entity id."""
+    """Each record stays with the entity that claims it with the highest probability; ties to the smaller entity id, null probabilities last. A repeated claim stays once."""
     at = F.row_number().over(Window.partitionBy("candidate_entity_id").orderBy(F.desc("prob"), "source1_entity_id"))
     return scored.withColumn("claim", at).where("claim = 1").drop("claim")
 
@@ -124,14 +133,14 @@ def reliability(rows: DataFrame) -> DataFrame:
 
 
 def threshold_rule(scored: DataFrame, least: float, top: int, delta: float) -> DataFrame:
-    """Pairs with prob of least or more, among the top of their entity, and within delta of its best."""
+    """Pairs with prob of least or more, among the top of their entity, and within delta of its best; ties to the smaller candidate id, null probabilities never."""
     order = Window.partitionBy("source1_entity_id").orderBy(F.desc("prob"), "candidate_entity_id")
     rows = scored.withColumns({"r": F.row_number().over(order), "best": F.max("prob").over(Window.partitionBy("source1_entity_id"))})
     return rows.where((F.col("prob") >= least) & (F.col("r") <= top) & (F.col("prob") >= F.col("best") - delta)).select(*scored.columns)
 
 
 def cap_sweep(candidates: DataFrame, truth: DataFrame, caps: list[int]) -> DataFrame:
-    """For each cap: pairs kept and true pairs found, from one ranking."""
+    """For each cap: pairs kept and true pairs found, from one ranking. Ties go by the order of the cap; repeated true pairs count once; empty candidates give no rows."""
     at = F.row_number().over(Window.partitionBy("source1_entity_id").orderBy(F.desc("prior_score"), F.desc("n_channels"), "best_rank", "candidate_entity_id"))
-    rows = candidates.withColumn("slot", at).join(truth.select(*PAIR, F.lit(1).alias("label")), list(PAIR), "left")
+    rows = candidates.withColumn("slot", at).join(truth.select(*PAIR).distinct().withColumn("label", F.lit(1)), list(PAIR), "left")
     return rows.select(F.explode(F.array(*[F.lit(c) for c in caps])).alias("cap"), "slot", "label").groupBy("cap").agg(F.count_if(F.col("slot") <= F.col("cap")).alias("pairs"), F.count_if((F.col("slot") <= F.col("cap")) & (F.col("label") == 1)).alias("found"))

@@ -140,7 +140,7 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit similarities of each part's name and brand, which are ASCII."""
+    """Jaro-Winkler similarity of each part's name and type, which are ASCII."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.lower("p_name").alias("a"), F.lower("p_type").alias("b"))
     return part.select("p_partkey", F.round(kernels.jaro_winkler(F.col("a"), F.col("b")), 6).alias("jaro_winkler"))
 

@@ -33,7 +33,7 @@ def read_id_lists(rows: DataFrame, column: str = "matched_entity_ids") -> DataFr
 
 
 def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records from documents: doc_id mod 3 gives the source, the first six words the name, all that follow the address, lang the country."""
+    """Records from documents: doc_id mod 3 gives the source, the first six words the name, all that follow the address, lang the country. Null texts and languages count as empty; whole texts are read."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     w = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != "")
     rows = docs.select("doc_id", w.alias("w"), F.coalesce("lang", F.lit("")).alias("country"))

@@ -193,6 +193,31 @@ def test_sampling(spark):
     assert sum(r.entities for r in profile.collect()) == 883
 
 
+def test_linkage_of_nulls_repeats_and_nothing(spark):
+    schema = "source1_entity_id string, candidate_entity_id string, channels int, n_channels int, best_rank int, prior_score double"
+    cands = spark.createDataFrame([("a", "x", 1, 1, 1, 1.0), ("a", "x", 1, 1, 1, 1.0), ("a", "y", 1, 1, 2, None), ("b", "x", 1, 1, 1, 1.0), ("c", "z", 1, 1, 1, None)], schema)
+    rows = {(r[0], r[1]): r for r in matching.context(cands).collect()}
+    assert rows["a", "x"].entity_n_cands == 3 and rows["a", "x"].cand_n_claims == 3 and rows["a", "y"].margin_to_best is None and rows["b", "x"].cand_is_argmax == 1
+    stub = {(r[0], r[1]): r.prob for r in matching.stub_scores(cands).collect()}
+    assert stub["b", "x"] == 0.5 == stub["c", "z"]
+    assert {tuple(r)[:2] for r in matching.unique_claims(matching.stub_scores(cands).where("prob is not null")).collect()} >= {("c", "z")}
+    norm = spark.createDataFrame([("a", None, None), ("x", "abcd e", ["abcd", "e"]), ("b", "abcd e", ["e", "abcd"])], "entity_id string, name_norm string, name_tokens array<string>")
+    sims = {(r[0], r[1]): r for r in matching.set_similarities(cands, norm).collect()}
+    assert set(sims) == {("a", "x"), ("b", "x")} and sims["a", "x"].char3_jaccard == 0 and sims["b", "x"].token_jaccard == 1
+    assert {r.cap: (r.pairs, r.found) for r in matching.cap_sweep(cands, cands, [1, 9]).collect()} == {1: (3, 3), 9: (5, 5)}
+    assert [r.slot for r in blocking.cap(cands, 1).withColumn("slot", F.lit(1)).collect()] == [1, 1, 1]
+    none = cands.limit(0)
+    for df in (matching.context(none), matching.stub_scores(none), matching.set_similarities(none, norm), matching.cap_sweep(none, none, [1]), blocking.cap(none), blocking.union([(1, none.withColumn("channel_rank", F.lit(1)))])):
+        assert df.count() == 0
+    people = spark.createDataFrame([("a", None), ("b", "c"), ("b", "c")], "entity_id string, country string")
+    assert sum(r.quota for r in checks.quotas(people, 2).collect()) == 2 and checks.quotas(people.limit(0), 2).count() == 0
+    ids = spark.createDataFrame([("a",)], "source1_entity_id string")
+    found = checks.violations(ids, people, cands, cands.select(*PAIR).union(cands.select(*PAIR).limit(1)))
+    assert {r.rule for r in found.collect()} == {"unknown query id", "unknown pool id", "matched twice"} and checks.violations(ids, people, none, none).count() == 0
+    labelled = cands.withColumn("label", F.lit(0))
+    assert matching.hard_negatives(labelled, 2.0, 1).count() == 3 and matching.hard_negatives(labelled.limit(0)).count() == 0
+
+
 def test_runs(spark):
     rnd = random.Random(6)
     keys = [rnd.choice([1, 2, None]) for _ in range(300)] + [7] * 200
