@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.blocking import PAIR, ranked
+from tallyweave.sources.work import written
 
 #: Records of a block of the pool, and queries that one task compares with it at once.
 POOL_BLOCK, QUERY_BLOCK = 20_000, 20_000
@@ -20,11 +23,17 @@ def query_text(raw: Column, roman: Column) -> Column:
 
 
 def hashed_vector(text: Column, size: int = 64, n: int = 3) -> Column:
-    """A vector for texts where no encoder is at hand: counts of character n-grams by hash, of length 1 (zeros for texts without one)."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substr(text, i, F.lit(n))), F.lit(size)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: F.size(F.filter(grams, lambda g: g == b)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(F.length(text) < n, F.array_repeat(F.lit(0.0), size)).otherwise(F.transform(counts, lambda x: x / F.greatest(norm, F.lit(1e-9)))).cast("array<float>")
+    """A vector for texts where no encoder is at hand: counts of character n-grams by hash, of length 1 (zeros for null texts and those without one). It is made in Arrow batches, as an encoder would."""
+
+    @F.pandas_udf("array<float>")
+    def run(s: pd.Series) -> pd.Series:
+        out = []
+        for t in s.fillna(""):
+            v = np.bincount([zlib.crc32(t[i : i + n].encode()) % size for i in range(len(t) - n + 1)], minlength=size).astype(np.float32)
+            out.append(v / max(1e-9, float(np.sqrt((v * v).sum()))))
+        return pd.Series(out)
+
+    return run(text)
 
 
 def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str, ...] = ("embedding",), shard: str = "country", pool_block: int = POOL_BLOCK, query_block: int = QUERY_BLOCK, digits: int = 6) -> DataFrame:
@@ -37,7 +46,8 @@ def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str,
     """
     size = lambda df, n: max(1, -(-df.count() // n))
     good = lambda df: df.where(F.col("entity_id").isNotNull() & ~F.greatest(*[F.coalesce(F.exists(v, lambda x: x.isNull()), F.lit(True)) for v in vectors], F.lit(False)))
-    s1, pool = (good(x).select("entity_id", F.coalesce(F.col(shard), F.lit("")).alias("shard"), F.concat(*vectors).alias("v"), *[F.size(v).alias(f"n{i}") for i, v in enumerate(vectors)]) for x in (s1, pool))
+    s1, pool = (written(good(x).select("entity_id", shard, *vectors)) for x in (s1, pool))
+    s1, pool = (x.select("entity_id", F.coalesce(F.col(shard), F.lit("")).alias("shard"), F.concat(*vectors).alias("v"), *[F.size(v).alias(f"n{i}") for i, v in enumerate(vectors)]) for x in (s1, pool))
     sizes = [f"n{i}" for i in range(len(vectors))]
     nq, np_ = size(s1, query_block), size(pool, pool_block)
     left = s1.withColumn("q", F.pmod(F.xxhash64("entity_id"), F.lit(nq)).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(np_ - 1))))
