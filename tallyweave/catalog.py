@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyweave.functions.text import STREETS, SUFFIXES
+from tallyweave.functions.lexicon import LEGAL_SUFFIXES, STREET_TYPES, alternatives
 from tallyweave.plans import linkage as p
 
 QUERIES = {
@@ -93,21 +93,26 @@ ent AS (SELECT *, round(CASE WHEN k = 0 THEN CASE WHEN m = 0 THEN 1.0 ELSE 0.0 E
 
 LABELLED = f"{EVENTS}, lab AS (SELECT *, CASE WHEN substr(candidate_entity_id, 4, 5)::INTEGER % 3 = 0 THEN 1 ELSE 0 END AS label FROM ev)"
 GRAM = "list_distinct(list_transform(range(1, length({0}) - 1), lambda i: substr({0}, i, 3)))"
-STREET_LIST = "[" + ", ".join(f"'{w}'" for w in STREETS) + "]"
-STREET_CASE = "CASE x " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STREETS.items()) + " ELSE x END"
+STREET_LIST = "[" + ", ".join(f"'{w}'" for w in STREET_TYPES) + "]"
+STREET_CASE = "CASE x " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STREET_TYPES.items()) + " ELSE x END"
+
+TRAIL = {c: f"(?:^|\\s)((?:{alternatives(w)})(?:\\s(?:{alternatives(w)}))*)$" for c, w in LEGAL_SUFFIXES.items()}
+LEAD = f"^((?:{alternatives(LEGAL_SUFFIXES['France'])})(?:\\s(?:{alternatives(LEGAL_SUFFIXES['France'])}))*)(?:\\s|$)"
+BY_COUNTRY = "CASE country " + " ".join(f"WHEN '{c}' THEN {{}}".format(f"regexp_{{0}}(name, '{t}', {{1}})") for c, t in TRAIL.items()) + " END"
+SUFFIX_SQL = f"""WITH a AS (SELECT c_custkey, (['US', 'India', 'France'])[(c_custkey % 3 + 1)::INTEGER] AS country, trim((['', '', 'sarl ', '', '', 'sas ', ''])[(c_custkey % 7 + 1)::INTEGER] || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE lower(c_mktsegment) END
+        || ' ' || (['private limited', 'inc', 'sarl', '', 'and co', 'l l c', 'pvt ltd', 'sas'])[(c_custkey % 8 + 1)::INTEGER]) AS name FROM customer),
+      b AS (SELECT *, {BY_COUNTRY.replace('{0}', 'replace').replace('{1}', "''")} AS rest, {BY_COUNTRY.replace('{0}', 'extract').replace('{1}', '1')} AS gone FROM a),
+      c AS (SELECT c_custkey, name, CASE WHEN country = 'France' THEN trim(regexp_extract(rest, '{LEAD}', 1) || ' ' || gone) ELSE gone END AS gone, trim(CASE WHEN country = 'France' THEN regexp_replace(rest, '{LEAD}', '') ELSE rest END) AS rest FROM b)
+      SELECT c_custkey, CASE WHEN rest = '' THEN name ELSE rest END AS stripped, CASE WHEN rest = '' THEN '' ELSE gone END AS removed FROM c"""
 
 ORACLES = {
     "ingest_profile": f"WITH {REC} SELECT country, count(*) AS n, count(DISTINCT entity_id) AS ids, count_if(business_address = '') AS no_address, count(DISTINCT business_name) AS names FROM rec GROUP BY ALL",
     "clean_text": rf"""WITH {REC} SELECT entity_id, name_norm, addr_norm, name_acronym,
       replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(name_norm, 'a{{2,}}', 'a', 'g'), 'e{{2,}}', 'e', 'g'), 'i{{2,}}', 'i', 'g'), 'o{{2,}}', 'o', 'g'), 'u{{2,}}', 'u', 'g'), 'ph', 'f') AS name_fold,
       CASE WHEN regexp_matches(name_norm, '\p{{L}}') THEN 1 ELSE 0 END AS script FROM norm""",
-    "street_canon": f"""SELECT c_custkey, array_to_string(list_transform(string_split(c_custkey || ' north ' || lower(c_mktsegment) || ' ' || ({STREET_LIST})[(c_custkey % {len(STREETS)} + 1)::INTEGER] || ' pobox 7', ' '),
+    "street_canon": f"""SELECT c_custkey, array_to_string(list_transform(string_split(c_custkey || ' north ' || lower(c_mktsegment) || ' ' || ({STREET_LIST})[(c_custkey % {len(STREET_TYPES)} + 1)::INTEGER] || ' pobox 7', ' '),
       lambda x: {STREET_CASE}), ' ') AS street FROM customer""",
-    "legal_suffix": rf"""WITH a AS (SELECT c_custkey, trim(CASE WHEN c_custkey % 5 = 0 THEN '' ELSE lower(c_mktsegment) END || ' ' || (['co ltd', 'inc', 'gmbh', 'sarl', '', 'ltd'])[(c_custkey % 6 + 1)::INTEGER]) AS name,
-      CASE WHEN c_custkey % 2 = 0 THEN '((?:^| )(?:{'|'.join(SUFFIXES['en'])}))+$' ELSE '((?:^| )(?:{'|'.join(SUFFIXES['de'])}))+$' END AS pat FROM customer),
-      b AS (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN trim(regexp_extract(name, '((?:^| )(?:{'|'.join(SUFFIXES['en'])}))+$', 0)) ELSE trim(regexp_extract(name, '((?:^| )(?:{'|'.join(SUFFIXES['de'])}))+$', 0)) END AS removed FROM a),
-      c AS (SELECT *, trim(substr(name, 1, length(name) - length(removed))) AS stripped FROM b)
-      SELECT c_custkey, CASE WHEN stripped = '' THEN name ELSE stripped END AS stripped, CASE WHEN stripped = '' THEN '' ELSE removed END AS removed FROM c""",
+    "legal_suffix": SUFFIX_SQL,
     "exact_key_pairs": f"WITH {REC}, {EXACT} SELECT * FROM exact",
     "rare_token_pairs": f"WITH {REC}, {RARE} SELECT * FROM rare",
     "tfidf_topk_name": f"WITH {REC}, {TFIDF} SELECT * FROM tfidf",

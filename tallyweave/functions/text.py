@@ -5,18 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Legal suffixes by country, street words and their canonical forms.
-SUFFIXES = {
-    "en": ["incorporated", "corporation", "limited", "company", "corp", "inc", "llc", "ltd", "co"],
-    "fr": ["sarl", "sas", "sa", "eurl"],
-    "de": ["gmbh", "ag", "kg"],
-    "es": ["sl", "sa"],
-}
-STREETS = {"street": "st", "avenue": "ave", "road": "rd", "boulevard": "blvd", "lane": "ln", "drive": "dr", "suite": "ste", "floor": "fl", "apartment": "apt", "north": "n", "south": "s", "east": "e", "west": "w"}
-
-
 def clean(text: Column) -> Column:
-    """Lower case, null as empty, letters and digits only, single spaces, no space at either end."""
+    """Letters and digits alone in lower case, with single spaces; null as empty. For texts without address punctuation; normal.clean_expr keeps that."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
@@ -35,24 +25,6 @@ def acronym(words: Column) -> Column:
     return F.array_join(F.transform(words, lambda x: F.substring(x, 1, 1)), "")
 
 
-def street_canon(text: Column) -> Column:
-    """Box spellings to pobox, then each street word to its short form."""
-    boxed = F.regexp_replace(text, r"\b(p o box|po box|post box)\b", "pobox")
-    words = F.create_map(*[F.lit(x) for pair in STREETS.items() for x in pair])
-    return F.array_join(F.transform(tokens(boxed), lambda x: F.coalesce(F.element_at(words, x), x)), " ")
-
-
-def legal_suffix(name: Column, country: Column) -> tuple[Column, Column]:
-    """Name without the legal suffixes at its end, and those suffixes; a name of suffixes alone stays whole."""
-    removed = F.lit("")
-    for key, words in SUFFIXES.items():
-        found = F.regexp_extract(name, rf"((?:^| )(?:{'|'.join(words)}))+$", 0)
-        removed = F.when(country == key, F.trim(found)).otherwise(removed)
-    stripped = F.trim(F.substr(name, F.lit(1), F.length(name) - F.length(removed)))
-    whole = stripped == ""
-    return F.when(whole, name).otherwise(stripped), F.when(whole, F.lit("")).otherwise(removed)
-
-
 def script_of(text: Column) -> Column:
     """0 no letters, 1 Latin only, 2 to 10 the Indic script with most characters (first of equals), 15 other."""
     blocks = [(2 + i, rf"[\x{{{0x900 + 0x80 * i:04x}}}-\x{{{0x97F + 0x80 * i:04x}}}]") for i in range(9)]

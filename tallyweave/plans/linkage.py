@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.functions import kernels, text
+from tallyweave.functions import kernels, lexicon, normal, text
 from tallyweave.operators import blocking, checks, matching
 from tallyweave.sources import records
 from tallyweave.sources.work import written
@@ -58,17 +58,17 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses made from customers, so that each street word occurs."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    words = F.array(*[F.lit(x) for x in text.STREETS])
-    line = F.concat(F.col("c_custkey").cast("string"), F.lit(" north "), F.lower("c_mktsegment"), F.lit(" "), F.element_at(words, (F.col("c_custkey") % len(text.STREETS) + 1).cast("int")), F.lit(" p o box 7"))
-    return c.select("c_custkey", text.street_canon(line).alias("street"))
+    words = F.array(*[F.lit(x) for x in lexicon.STREET_TYPES])
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(" north "), F.lower("c_mktsegment"), F.lit(" "), F.element_at(words, (F.col("c_custkey") % len(lexicon.STREET_TYPES) + 1).cast("int")), F.lit(" p o box 7"))
+    return c.select("c_custkey", normal.street(line).alias("street"))
 
 
 def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names made from customers with the suffixes of three countries at the end, and at the beginning."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    endings = F.array(*[F.lit(x) for x in ("co ltd", "inc", "gmbh", "sarl", "", "ltd")])
-    country = F.when(F.col("c_custkey") % 2 == 0, "en").otherwise("de")
-    name = F.trim(F.concat(F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.lower("c_mktsegment")), F.lit(" "), F.element_at(endings, (F.col("c_custkey") % 6 + 1).cast("int"))))
-    stripped, removed = text.legal_suffix(name, country)
+    pick = lambda n, *values: F.element_at(F.array(*[F.lit(x) for x in values]), (F.col("c_custkey") % n + 1).cast("int"))
+    name = F.trim(F.concat(pick(7, "", "", "sarl ", "", "", "sas ", ""), F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.lower("c_mktsegment")), F.lit(" "), pick(8, "private limited", "inc", "sarl", "", "and co", "l l c", "pvt ltd", "sas")))
+    stripped, removed = normal.legal_suffix(name, pick(3, "US", "India", "France"))
     return c.select("c_custkey", stripped.alias("stripped"), removed.alias("removed"))
 
 

@@ -45,9 +45,6 @@ def test_text_functions(spark):
     assert one(spark, text.clean(F.col("a")), a="  Ünder-Score, N°5 ") == "ünder score n 5"
     assert one(spark, text.clean(F.col("a")), a=None) == ""
     assert one(spark, text.phonetic_fold(F.col("a")), a="phoooone") == "fone"
-    stripped, removed = text.legal_suffix(F.col("a"), F.lit("en"))
-    assert one(spark, stripped, a="acme co ltd") == "acme" and one(spark, removed, a="acme co ltd") == "co ltd"
-    assert one(spark, stripped, a="ltd") == "ltd" and one(spark, removed, a="ltd") == ""
     for value, code in (("", 0), ("12", 0), ("abc", 1), ("अआ a", 2), ("தமிழ்", 7), ("Ж", 15), ("සිංහල", 15)):
         assert one(spark, text.script_of(F.col("a")), a=value) == code
     assert one(spark, text.prefix_ratio(F.col("a"), F.col("b")), a="abcd", b="abx") == 0.5
