@@ -119,3 +119,24 @@ def test_toxicity_of_word_order_and_odd_tables(spark):
     kept = toxicity.keep_clean(docs, marks, shape=toxicity.Shape(steps=2000), **names)
     assert kept.columns == docs.columns and kept.count() < len(rows)
     assert toxicity.keep_clean(docs.limit(0), marks, shape=toxicity.Shape(steps=10), **names).count() == 0
+
+
+def test_score_equals_plain_convolution():
+    """The score of a text against sums over its words, filter by filter; blocks of a long text don't change it."""
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{rnd.randrange(40)}" for _ in range(rnd.randint(0, 30))) for _ in range(80)]
+    labels = [int("w3" in t.split()) for t in texts]
+    model = toxicity.train(texts, labels, [None] * 80, toxicity.Shape(steps=300))
+    for text in ["", "w3", "W3 unseen w5, w1", texts[7], "w1 w2 " * 60]:
+        words = toxicity.WORD(text.lower())
+        rows = [[sum(float(model.embed[s][d]) for s in toxicity.slots_of(w, model.shape)) for d in range(model.shape.size)] for w in words]
+        rows += [[0.0] * model.shape.size] * max(model.shape.widths)
+        total, at, k = model.last, 0, 0
+        for width in model.shape.widths:
+            for n in range(model.shape.filters):
+                best = max(sum(rows[p + j][d] * float(model.conv[d, at + j * model.shape.filters + n]) for j in range(width) for d in range(model.shape.size)) for p in range(len(rows) - width + 1))
+                total += max(0.0, best + float(model.bias[k])) * float(model.out[k])
+                k += 1
+            at += width * model.shape.filters
+        assert abs(model.logit(text) - total) < 1e-3
+        assert abs(model.logit(text, block=5) - total) < 1e-3
