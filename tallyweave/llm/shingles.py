@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ STARS = 4
 #: Rounds go on while one comparison in so many finds a link. Groups of BIG nodes or more are then compared as a whole with all nodes that met one of theirs,
 #: BLOCK nodes of either side at a time.
 WORTH, BIG, BLOCK = 20, 64, 2000
+#: Pairs, or as many as there are texts if those are more, whose texts are brought together at once.
+SLICE = 100_000
 
 
 def elements(text: bytes, shingle: int = 5) -> np.ndarray:
@@ -59,6 +62,28 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if both else 0.0
 
 
+def sketch(e: np.ndarray) -> bytes:
+    """Bits at the elements modulo a power of two, at least twice as many as elements; the halves of a longer one, put together, are the shorter one."""
+    m = max(64, 1 << (2 * len(e) - 1).bit_length()) if len(e) else 64
+    flags = np.zeros(m, bool)
+    flags[(e & np.uint64(m - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def may_match(m: int, x: bytes, n: int, y: bytes, least: float) -> bool:
+    """False only if sets of m and n elements with these sketches can't be similar by least: a bit that one sketch has alone is an element that the other set lacks."""
+    if min(m, n) < least * max(m, n) - 1e-9:
+        return False
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(p) > len(q):
+        p = p[: len(p) // 2] | p[len(p) // 2 :]
+    while len(q) > len(p):
+        q = q[: len(q) // 2] | q[len(q) // 2 :]
+    both = np.bitwise_count(p & q).sum()
+    most = min(m - (int(np.bitwise_count(p).sum()) - int(both)), n - (int(np.bitwise_count(q).sum()) - int(both)))
+    return most >= (least - 1e-12) * (m + n - most)
+
+
 def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The rows of sorted batches of longs, in lists of whole keys (column 0)."""
     held: list[np.ndarray] = []
@@ -202,8 +227,37 @@ def across(least: float) -> Callable:
     return pairs
 
 
-def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts are similar by least or more."""
+def sketched(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, n, bits): elements of each text, and their sketch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [elements(x, shingle) for x in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(e) for e in own], pa.int64()), pa.array([sketch(e) for e in own], pa.binary())], ["node", "n", "bits"])
+
+    return checkpointed(text_map(texts, ["node", "text"], work, "node long, n long, bits binary"))
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches allow the similarity. A sketch is some twentieth of its text, so few texts travel."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 4096):
+            m, x, n, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            ok = [may_match(*row, least) for row in zip(m, x, n, y, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return checkpointed(both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(work, "a long, b long"))
+
+
+def similar(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts are similar by least or more.
+
+    Pairs that their sketches rule out go first. The others go SLICE at a time to their texts, cut by
+    the hash of a, so that only so many texts are on disk at once, whatever the number of pairs.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -219,8 +273,20 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> D
                 ok.append(jaccard(known[x], known[y]) >= least - 1e-12)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    text = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
-    return checkpointed(pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long"))
+    left = possible(pairs, sketches, least)
+    slices = max(1, -(-left.count() // max(SLICE, texts.count())))
+    out = []
+    for i in range(slices):
+        cut = lambda df, x: df.where(F.pmod(F.xxhash64(x, F.lit(7)), F.lit(slices)) == i)  # noqa: B023, E731
+        text = lambda df, n: df.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
+        both = cut(left, "a").join(text(cut(texts, "node"), "a"), "a").join(text(texts, "b"), "b")
+        out.append(checkpointed(both.select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long")))
+    if slices == 1:
+        discard(left)
+        return out[0]
+    links = checkpointed(reduce(DataFrame.union, out))
+    discard(left, *out)
+    return links
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
@@ -281,7 +347,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     few = lambda df, x, y: df.groupBy(x).agg(F.slice(F.array_sort(F.collect_set(y), lambda p, q: order(p, q)), 1, STARS).alias("l")).select(x, F.explode("l").alias(y)).select(*pair(x, y)).distinct()
     order = lambda p, q: F.when(F.xxhash64(p) < F.xxhash64(q), -1).when(F.xxhash64(p) > F.xxhash64(q), 1).otherwise(0)
     done = checkpointed(few(met.where("node != lead"), "node", "lead"))
-    links = similar(done, texts, shingle, least)
+    sketches = sketched(texts, shingle)
+    links = similar(done, texts, sketches, shingle, least)
     turn, found = 0, None
 
     def labelled(groups: DataFrame) -> DataFrame:
@@ -291,7 +358,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         turn += 1
         marks = labelled(components(links))
         new = checkpointed(few(dealt(marks, joiners(turn, least), ["node", "other"]), "node", "other").join(done, ["a", "b"], "left_anti"))
-        more = similar(new, texts, shingle, least)
+        more = similar(new, texts, sketches, shingle, least)
         found = more.count(), new.count()
         links, done = checkpointed(links.union(more)), checkpointed(done.union(new))
         discard(marks, new, more)
@@ -310,7 +377,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     # Nodes of those big groups have been compared with all that they met; the others meet each other.
     rest = checkpointed(dealt(marks, across(least), ["a", "b"]).distinct().join(done, ["a", "b"], "left_anti"))
     discard(marks, met, visits, done)
-    links = links.union(similar(rest, texts, shingle, least))
+    links = links.union(similar(rest, texts, sketches, shingle, least))
     # Rows that repeat an id which is the least of two texts are one node.
     ends = lambda n: reps.select(F.col("node").alias(n), F.col("rep").alias(f"rep_{n}"))
     roots = components(links.join(ends("a"), "a").join(ends("b"), "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))

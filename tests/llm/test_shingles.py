@@ -63,3 +63,34 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, common, big):
     got = [r.doc_id for r in cp.one_of_each(spark, df, "").collect()]
     assert sorted(i for i in got if i is not None) == want and got.count(None) == 1
     assert cp.one_of_each(spark, df.limit(0), "").count() == 0
+
+
+def test_sketches_rule_out_no_similar_pair():
+    rnd, kept, ruled_out = random.Random(9), 0, 0
+    for _ in range(3000):
+        w = [f"w{rnd.randrange(400)}" for _ in range(rnd.randint(1, 300))]
+        v = list(w)
+        for _ in range(rnd.randint(0, 12)):
+            at = rnd.randrange(len(v))
+            v[at : at + rnd.randint(0, 2)] = [f"x{rnd.randrange(400)}"] * rnd.randint(1, 3)
+        x, y = (shingles.elements(" ".join(t).encode()) for t in (w, v))
+        may = shingles.may_match(len(x), shingles.sketch(x), len(y), shingles.sketch(y), 0.8)
+        assert may or shingles.jaccard(x, y) < 0.8
+        kept, ruled_out = kept + may, ruled_out + (not may)
+    assert kept > 500 and ruled_out > 500
+    assert shingles.may_match(0, shingles.sketch(shingles.elements(b"")), 0, shingles.sketch(shingles.elements(b"")), 0.8)
+
+
+def test_only_texts_of_possible_pairs_travel(spark, monkeypatch):
+    """Unrelated texts that share a rare shingle are told apart from their sketches, and the texts of the others come slice by slice."""
+    monkeypatch.setattr(shingles, "SLICE", 1)
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"w{rnd.randrange(9000)}" for _ in range(80))) for i in range(30)]
+    rows += [(100 + i, t.replace(" w", " v", 1)) for i, t in rows[:12]] + [(200 + i, t.replace(" w", " u", 1)) for i, t in rows[:12]]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    sketches = shingles.sketched(texts, 5)
+    ids = [i for i, _ in rows]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a long, b long")
+    want = sorted((a, b) for k, (a, s) in enumerate(rows) for b, t in rows[k + 1 :] if weighted(s, t) >= 0.8)
+    assert shingles.possible(pairs, sketches, 0.8).count() < 60 < pairs.count()
+    assert sorted(map(tuple, shingles.similar(pairs, texts, sketches, 5, 0.8).collect())) == want and len(want) == 36
