@@ -310,3 +310,50 @@ def test_queries_without_sql(spark, name):
         assert all(0 <= r.raw <= 1 for r in rows) and len({r.raw for r in rows}) > 5
     if name == "edit_similarity_features":
         assert all(0 <= r.token_set <= 1 for r in rows)
+
+
+def test_tfidf_in_blocks_equals_all_pairs(spark):
+    """Blocks, kinds of equal tokens, repeated ids and ids of two countries give what all pairs give, and only the best are written."""
+    import math
+    import random
+    from collections import Counter, defaultdict
+
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 5)))
+    words = [word() for _ in range(40)]
+    rows = [(f"S{1 + i % 3}-{i}", "xy"[i % 4 == 0], [rnd.choice(words) for _ in range(rnd.randint(0, 3))]) for i in range(240)]
+    rows += [(f"S2-{i}", "x", [words[0], words[1]]) for i in range(1000, 1020)] + [("S1-1000", "x", [words[1], words[0]]), ("S1-1000", "x", [words[2]])]
+    rows += [(i, c, [words[3], words[4]]) for i in ("S1-2000", "S2-2000") for c in "xy"]
+    s1, pool = records.sides(spark.createDataFrame(rows, "entity_id string, country string, name_tokens array<string>"))
+
+    def grams(t):
+        return Counter(g for w in t for n in (3, 4) for g in [f" {w} "[i : i + n] for i in range(max(len(w) + 3 - n, 1))])
+
+    vec, n = defaultdict(Counter), Counter(c for i, c, t in rows if t and i[:2] != "S1")
+    for i, c, t in rows:
+        vec[c, i] += grams(t)
+    df = Counter((c, g) for (c, i), v in vec.items() if i[:2] != "S1" for g in v)
+    weights = {}
+    for (c, i), v in vec.items():
+        known = {g: df[c, g] for g in v if df[c, g] >= 2}
+        core = {g for g in known if known[g] <= math.floor(0.1 * n[c])}
+        kept = core or set(sorted(known, key=lambda g: (known[g], g))[:5])
+        w = {g: (math.log(v[g]) + 1) * (math.log((n[c] + 1) / (known[g] + 1)) + 1) for g in kept}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        weights[c, i] = (bool(core), {g: x / size for g, x in w.items()})
+    scores = defaultdict(float)
+    for (c, i), (core, w) in weights.items():
+        for (d, j), (other, v) in weights.items() if i[:2] == "S1" else ():
+            if c == d and j[:2] != "S1" and core == other and w.keys() & v.keys():
+                scores[i, j] += sum(w[g] * v[g] for g in w.keys() & v.keys())
+    want = set()
+    for i in {i for i, _ in scores}:
+        best = sorted((-round(x, 8), j) for (a, j), x in scores.items() if a == i)[:4]
+        want |= {(i, j, at, round(-x, 6)) for at, (x, j) in enumerate(best, 1)}
+    for block in (17, 10_000):
+        got = blocking.tfidf_top_k(s1, pool, k=4, df_ceiling=0.1, block=block)
+        assert {(r[0], r[1], r[2], round(r[3], 6)) for r in got.collect()} == want
+    assert any(i == "S1-2000" for i, *_ in want) and len(want) > 200
+    kinds = spark.createDataFrame([(i, "x", True, [1], [1.0]) for i in range(50)], "kind long, country string, core boolean, g array<long>, w array<double>")
+    right = kinds.selectExpr("kind as other", "'S2-' || kind as first", "country", "core", "g", "w")
+    assert blocking.tfidf_nearest(kinds, right, 3, 10_000).count() == 150
