@@ -109,3 +109,30 @@ def test_kernels():
     assert k.lcs_ratio("", "a") == 0 and k.lcs_ratio("abc", "abc") == 1 and k.lcs_ratio("abcd", "abxd") == 0.75 and k.lcs_ratio("ab", "cd") == 0
     assert round(k.jaro_winkler_of("martha", "marhta"), 4) == 0.9611 and k.jaro_winkler_of("", "") == 0 and k.jaro_winkler_of("abc", "abc") == 1
     assert k.folded("Cœur Straße Øl é ñ") == "Coeur Strasse Øl e n".replace("Ø", k.LETTERS.get("Ø", "Ø"))
+
+
+def test_exact_key_ranks_copies_once(spark):
+    """Records that agree on every key have one ranked list; results are those of single pairs, which repeated ids still take."""
+    rows = [(f"S{1 + i % 3}-{i}", "xy"[i % 2], f"a{i % 4}" if i % 11 else "", f"b{i % 3}" * (1 + 40 * (i % 5 == 0))) for i in range(240)]
+    df = spark.createDataFrame(rows, "entity_id string, country string, p string, q string")
+    s1, pool = records.sides(df)
+    found = [blocking.family_pairs(s1, pool, c, 60).withColumn("family", F.lit(i)) for i, c in enumerate((["p"], ["p", "q"], ["q"]))]
+    plain_pairs = found[0].union(found[1]).union(found[2]).groupBy(*blocking.PAIR).agg(F.countDistinct("family").alias("families"), F.min("bucket").alias("bucket"))
+    want = {(r[0], r[1], r["channel_rank"], float(r["families"])) for r in blocking.ranked(plain_pairs, F.desc("families"), "bucket").collect()}
+    got = blocking.exact_key(s1, pool, [["p"], ["p", "q"], ["q"]], 60)
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 500
+    twice = blocking.exact_key(s1, pool.union(pool.limit(1)), [["p"], ["p", "q"], ["q"]], 60)
+    assert twice.count() == twice.select(*blocking.PAIR).distinct().count() > 0
+    kinds, members = blocking.kinds_of(s1, ["country", "p", "q"])
+    assert kinds.count() < members.count() == s1.count()
+
+
+def test_parties_normalise_each_spelling_once(spark, tmp_path, monkeypatch):
+    from tallyweave.plans import party
+
+    seen, real = [], party.normal.normalise_frame
+    monkeypatch.setattr(party.normal, "normalise_frame", lambda df: seen.append(df.count()) or real(df))
+    spark.createDataFrame([(k + 42000 * i, k % 3) for k in range(6) for i in range(3)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["entity_id"]: r for r in party.norm(spark, str(tmp_path)).collect()}
+    want = {r["entity_id"]: r for r in real(party.parties(spark, str(tmp_path))).collect()}
+    assert got == want and len(got) == 33 and seen == [11]
