@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.operators.blocking import PAIR, ranked
@@ -41,7 +41,8 @@ def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str,
 
     Every query meets every record of its shard, in blocks: a task holds one block of either side, and
     gives the k best of each query; the best of those are the result. Scores count to some digits, ties
-    go to the smaller id. Rows with a null or wrongly long vector, or a null id, take part in nothing;
+    go to the smaller id. Rows of the same vectors are one kind: kinds are compared, and the k smallest ids of
+    a pool kind stand for it, since no other one of it can be among the k best. Rows with a null or wrongly long vector, or a null id, take part in nothing;
     vectors of length 0 have cosine 0; empty tables give no pairs. The number of blocks follows the counts.
     """
     size = lambda df, n: max(1, -(-df.count() // n))
@@ -49,10 +50,14 @@ def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str,
     s1, pool = (written(good(x).select("entity_id", shard, *vectors)) for x in (s1, pool))
     s1, pool = (x.select("entity_id", F.coalesce(F.col(shard), F.lit("")).alias("shard"), F.concat(*vectors).alias("v"), *[F.size(v).alias(f"n{i}") for i, v in enumerate(vectors)]) for x in (s1, pool))
     sizes = [f"n{i}" for i in range(len(vectors))]
-    nq, np_ = size(s1, query_block), size(pool, pool_block)
-    left = s1.withColumn("q", F.pmod(F.xxhash64("entity_id"), F.lit(nq)).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(np_ - 1))))
-    right = pool.withColumn("p", F.pmod(F.xxhash64("entity_id"), F.lit(np_)).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    schema = "source1_entity_id string, candidate_entity_id string, channel_score double"
+    same = ["shard", "v", *sizes]
+    numbered = lambda df, name: written(df.groupBy(*same).agg(F.min("entity_id").alias("first")).withColumn(name, F.monotonically_increasing_id()))
+    own, held = numbered(s1, "l"), numbered(pool, "r")
+    members, heads = s1.join(own.drop("first"), same).select("l", F.col("entity_id").alias(PAIR[0])), pool.join(held.drop("first"), same).select("r", F.col("entity_id").alias(PAIR[1]))
+    heads = heads.withColumn("nth", F.row_number().over(Window.partitionBy("r").orderBy(PAIR[1]))).where(F.col("nth") <= k).drop("nth")
+    nq, np_ = size(own, query_block), size(held, pool_block)
+    left = own.withColumn("q", F.pmod(F.xxhash64("l"), F.lit(nq)).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(np_ - 1))))
+    right = held.withColumn("p", F.pmod(F.xxhash64("r"), F.lit(np_)).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
 
     def unit(rows: pd.DataFrame) -> np.ndarray:
         x, at, out = np.stack(rows["v"].to_numpy()).astype(np.float64), 0, []
@@ -64,17 +69,19 @@ def embed_top_k(s1: DataFrame, pool: DataFrame, k: int = 20, vectors: tuple[str,
 
     def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({n: pd.Series([], dtype=object if i < 2 else float) for i, n in enumerate((*PAIR, "channel_score"))})
-        b = b.sort_values("entity_id", kind="stable")
-        x, y, names, ids, out = unit(a), unit(b), a["entity_id"].to_numpy(object), b["entity_id"].to_numpy(object), []
+            return pd.DataFrame({"l": np.zeros(0, np.int64), "r": np.zeros(0, np.int64), "channel_score": np.zeros(0)})
+        b = b.sort_values("first", kind="stable")
+        x, y, names, ids, out = unit(a), unit(b), a["l"].to_numpy(), b["r"].to_numpy(), []
         for start in range(0, len(a), 1024):
             scores = np.round(x[start : start + 1024] @ y.T / len(sizes), digits)
             order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             out.append((np.repeat(names[start : start + 1024], order.shape[1]), ids[order.ravel()], np.take_along_axis(scores, order, axis=1).ravel()))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pd.DataFrame({n: pd.Series(c, dtype=object if i < 2 else float) for i, (n, c) in enumerate(zip((*PAIR, "channel_score"), columns, strict=True))})
+        return pd.DataFrame({n: np.concatenate(c) for n, c in zip(("l", "r", "channel_score"), zip(*out, strict=True), strict=True)})
 
     keys = ["shard", "q", "p", *sizes]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, schema)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(near, "l long, r long, channel_score double").join(heads, "r")
+    best = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("channel_score"), PAIR[1]))
+    # Rows that repeat an id of source 1 are ranked together.
+    found = found.withColumn("nth", best).where(F.col("nth") <= k).join(members, "l").select(*PAIR, "channel_score")
     return ranked(found, F.desc("channel_score")).where(F.col("channel_rank") <= k).select(*PAIR, "channel_rank", "channel_score")
 

@@ -357,3 +357,17 @@ def test_tfidf_in_blocks_equals_all_pairs(spark):
     kinds = spark.createDataFrame([(i, "x", True, [1], [1.0]) for i in range(50)], "kind long, country string, core boolean, g array<long>, w array<double>")
     right = kinds.selectExpr("kind as other", "'S2-' || kind as first", "country", "core", "g", "w")
     assert blocking.tfidf_nearest(kinds, right, 3, 10_000).count() == 150
+
+
+def test_matrix_works_out_each_kind_once(spark, tmp_path, monkeypatch):
+    """Copies of source-1 records cost no candidates or features of their own, and the rows are those of record-wise work."""
+    customer = spark.read.parquet(f"{SF}/customer.parquet").where("c_custkey < 24")
+    copies = customer.crossJoin(spark.range(5).withColumnRenamed("id", "copy")).withColumn("c_custkey", F.col("c_custkey") + 42000 * F.col("copy"))
+    copies.drop("copy").write.parquet(f"{tmp_path}/customer.parquet")
+    made = []
+    whole = features.feature_columns
+    monkeypatch.setattr(features, "feature_columns", lambda candidates, *a, **b: made.append(candidates.count()) or whole(candidates, *a, **b))
+    got = sorted(map(tuple, party.matrix(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(blocking, "repeats_ids", lambda *a: True)
+    assert got == sorted(map(tuple, party.matrix(spark, str(tmp_path)).collect()))
+    assert sum(r[-1] for r in got) > 60 and made[1] == len(got) == 5 * made[0]
