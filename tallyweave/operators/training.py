@@ -8,6 +8,8 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,9 +155,12 @@ def fit_trees(x: np.ndarray, y: np.ndarray, vx: np.ndarray, vy: np.ndarray, name
     model = Boosted(list(names), float(np.log(share / (1 - share))))
     if not 0 < (y.sum() if len(y) else 0) < len(y):
         return model
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
-    edges = [e[e < x[:, j].max()] for j, e in enumerate(edges)]
-    binned = np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], axis=1).astype(np.int16)
+    edges, binned = [], np.empty(x.shape, np.int16, order="F")
+    for j in range(x.shape[1]):
+        column = x[:, j].astype(np.float64)
+        e = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1]))
+        edges.append(e[e < column.max()])
+        binned[:, j] = np.searchsorted(edges[j], column, "left")
     z, vz = np.full(len(y), model.base), np.full(len(vy), model.base)
     best, best_at = log_loss(vy, vz), 0
     for r in range(1, rounds + 1):
@@ -173,8 +178,8 @@ def fit_trees(x: np.ndarray, y: np.ndarray, vx: np.ndarray, vy: np.ndarray, name
     return model
 
 
-def bounded(rows: DataFrame, limit: int = TRAIN_ROWS) -> pd.DataFrame:
-    """Up to limit rows, those with the smallest hashes of their ids. The threshold comes from a count by hash, so that no other row comes to the driver."""
+def bounded(rows: DataFrame, limit: int = TRAIN_ROWS) -> pa.Table:
+    """Up to limit rows, those with the smallest hashes of their ids. The threshold comes from a count by hash, so that no other row comes to the driver; they come as Arrow columns, not as Python objects."""
     key = F.pmod(F.xxhash64(*PAIR), F.lit(4096))
     seen, cut = 0, -1
     for r in rows.groupBy(key.alias("b")).count().orderBy("b").collect():
@@ -182,15 +187,26 @@ def bounded(rows: DataFrame, limit: int = TRAIN_ROWS) -> pd.DataFrame:
         if seen > limit and cut >= 0:
             break
         cut = r["b"]
-    return rows.where(key <= cut).toPandas().sort_values(list(PAIR), kind="stable")
+    return rows.where(key <= cut).toArrow()
+
+
+def arrays(got: pa.Table, columns: tuple[str, ...], role: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the rows of a role, by their ids. Features stay single floats if all columns are."""
+    got = got.filter(pc.equal(got["role"], role))
+    order = pc.sort_indices(got, sort_keys=[(c, "ascending") for c in PAIR])
+    x = np.empty((len(got), len(columns)), np.float32 if all(got.schema.field(c).type == pa.float32() for c in columns) else np.float64, order="F")
+    for j, c in enumerate(columns):
+        x[:, j] = got[c].take(order).to_numpy()
+    return x, got["label"].take(order).to_numpy().astype(np.float64)
 
 
 def train(rows: DataFrame, limit: int = TRAIN_ROWS, columns: tuple[str, ...] = features.COLUMNS, signs: list[int] | None = None, **more) -> Boosted:
     """The model of rows (ids, columns, label, role): train fits, val stops."""
     signs = [s for _, s in features.SPEC] if signs is None else signs
     got = bounded(rows.where("role in ('train', 'val')").select(*PAIR, *columns, "label", "role"), limit)
-    part = lambda role: (got.loc[got["role"] == role, list(columns)].to_numpy(np.float64), got.loc[got["role"] == role, "label"].to_numpy(np.float64))
-    return fit_trees(*part("train"), *part("val"), list(columns), signs, **more)
+    parts = [*arrays(got, columns, "train"), *arrays(got, columns, "val")]
+    del got
+    return fit_trees(*parts, list(columns), signs, **more)
 
 
 def predict(rows: DataFrame, model: Boosted) -> DataFrame:

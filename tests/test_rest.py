@@ -371,3 +371,20 @@ def test_matrix_works_out_each_kind_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(blocking, "repeats_ids", lambda *a: True)
     assert got == sorted(map(tuple, party.matrix(spark, str(tmp_path)).collect()))
     assert sum(r[-1] for r in got) > 60 and made[1] == len(got) == 5 * made[0]
+
+
+def test_training_rows_come_as_columns(spark, monkeypatch):
+    """Rows for the driver are Arrow columns of single floats, and the model is that of the same rows as doubles."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("rows as Python objects"))
+    rnd = np.random.default_rng(5)
+    x = rnd.random((900, 3)).astype(np.float32)
+    y = (x[:, 0] + 0.3 * rnd.random(900) > 0.6).astype(int)
+    rows = [(f"S1-{i:04d}", f"S2-{i}", *map(float, x[i]), int(y[i]), "val" if i % 4 == 0 else "train") for i in range(900)]
+    df = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, a float, b float, c float, label int, role string")
+    model = training.train(df, columns=("a", "b", "c"), signs=[1, 0, 0], rounds=8, leaves=7)
+    val = np.arange(900) % 4 == 0
+    want = training.fit_trees(x[~val].astype(float), y[~val].astype(float), x[val].astype(float), y[val].astype(float), ["a", "b", "c"], [1, 0, 0], rounds=8, leaves=7)
+    assert model.trees and model.dumps() == want.dumps()
+    assert training.arrays(training.bounded(df), ("a", "b", "c"), "train")[0].dtype == np.float32
