@@ -1,4 +1,4 @@
-"""Near copies by exact shingle similarity: prefixes of ordered shingles find every pair that can be similar enough, weighted Jaccard decides."""
+"""Near copies by SimHash and exact shingle similarity: blocks of fingerprints find close texts, prefixes of ordered shingles every other pair that can be similar enough; weighted Jaccard decides."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm import simhash
 from tallyweave.llm.common import checkpointed, components, discard, pieces, share, text_map, utf8
 
 #: Texts, at most, whose shingles say which ones are common, and how many of those are remembered. Common
@@ -23,6 +24,9 @@ STARS = 4
 #: Rounds go on while one comparison in so many finds a link. Groups of BIG nodes or more are then compared as a whole with all nodes that met one of theirs,
 #: BLOCK nodes of either side at a time.
 WORTH, BIG, BLOCK = 20, 64, 2000
+#: Bits in which fingerprints of near copies may differ to be found by SimHash.
+RADIUS = 3
+TALLY = ("t0", "t1", "t2", "t3")
 #: Pairs, or as many as there are texts if those are more, whose texts are brought together at once.
 SLICE = 100_000
 
@@ -70,6 +74,24 @@ def sketch(e: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def tally(e: np.ndarray) -> np.ndarray:
+    """Elements in each of 64 bins modulo 16, in four longs. Bins are cut by other bits than those of a sketch."""
+    counts = np.bincount((e >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.uint64) & np.uint64(15)
+    return (counts.reshape(4, 16) << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def bins_of(longs: np.ndarray) -> np.ndarray:
+    """The 64 counts of each row of four longs."""
+    x = np.ascontiguousarray(longs).view(np.uint64)
+    return (x[:, :, None] >> np.arange(0, 64, 4, dtype=np.uint64) & np.uint64(15)).astype(np.uint8).reshape(len(x), 64)
+
+
+def apart(bins: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Elements, at least, that only one of two sets has: each moves the count of its bin by one. One set against several, by their bins."""
+    gap = (others - bins) & np.uint8(15)
+    return np.minimum(gap, np.uint8(16) - gap).sum(axis=1, dtype=np.int64)
+
+
 def may_match(m: int, x: bytes, n: int, y: bytes, least: float) -> bool:
     """False only if sets of m and n elements with these sketches can't be similar by least: a bit that one sketch has alone is an element that the other set lacks."""
     if min(m, n) < least * max(m, n) - 1e-9:
@@ -209,17 +231,19 @@ def meet(visits: DataFrame, members: DataFrame, texts: DataFrame, shingle: int,
 
 def across(least: float) -> Callable:
     def pairs(g: np.ndarray) -> np.ndarray | None:
-        """(h, node, n, place, group, big): pairs of nodes of different groups, neither big, whose sizes, and the places of this shingle if it is the first that they share, allow the similarity."""
-        g = g[g[:, 5] == 0]
-        if not len(g) or (g[:, 4] == g[0, 4]).all():
+        """(h, node, n, place, group, tally): pairs of nodes of different groups whose sizes, and the places of this shingle if it is the first that they share, and whose tallies allow the similarity."""
+        if (g[:, 4] == g[0, 4]).all():
             return None
         g, out = g[np.argsort(g[:, 2], kind="stable")], []
         ends = np.searchsorted(g[:, 2], np.floor(g[:, 2] / least + 1e-9), "right")
-        left = g[:, 2] - g[:, 3]
+        left, bins = g[:, 2] - g[:, 3], bins_of(g[:, 5:9])
         for i, end in enumerate(ends):
             other = g[i + 1 : end]
             fits = (other[:, 4] != g[i, 4]) & (np.minimum(left[i], left[i + 1 : end]) >= least / (1 + least) * (other[:, 2] + g[i, 2]) - 1e-9)
-            other = other[fits, 1]
+            if not fits.any():
+                continue
+            most = (1 - least) / (1 + least) * (other[fits, 2] + g[i, 2]) + 1e-9
+            other = other[fits, 1][apart(bins[i], bins[i + 1 : end][fits]) <= most]
             if len(other):
                 out.append(np.column_stack([np.minimum(other, g[i, 1]), np.maximum(other, g[i, 1])]))
         return np.concatenate(out) if out else None
@@ -228,14 +252,26 @@ def across(least: float) -> Callable:
 
 
 def sketched(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, n, bits): elements of each text, and their sketch."""
+    """(node, n, bits, t0 to t3, fp): elements of each text, their sketch and tally, and the SimHash of the text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [elements(x, shingle) for x in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(e) for e in own], pa.int64()), pa.array([sketch(e) for e in own], pa.binary())], ["node", "n", "bits"])
+            if not batch.num_rows:
+                continue
+            raw = utf8(batch.column(1))
+            own = [elements(x, shingle) for x in raw]
+            tallies = np.stack([tally(e) for e in own])
+            columns = [batch.column(0), pa.array([len(e) for e in own], pa.int64()), pa.array([sketch(e) for e in own], pa.binary()), *[pa.array(np.ascontiguousarray(t)) for t in tallies.T], pa.array([simhash.fingerprint(x, shingle) for x in raw], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bits", *TALLY, "fp"])
+
+    return checkpointed(text_map(texts, ["node", "text"], work, f"node long, n long, bits binary, {', '.join(f'{t} long' for t in TALLY)}, fp long"))
+
 
-    return checkpointed(text_map(texts, ["node", "text"], work, "node long, n long, bits binary"))
+def close_prints(sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that the blocks of SimHash connect: equal fingerprints, and those that differ in RADIUS bits or fewer."""
+    prints = checkpointed(sketches.groupBy("fp").agg(F.min("node").alias("rep")))
+    same = sketches.select("node", "fp").join(prints, "fp").where("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    return same.union(simhash.links(prints, RADIUS)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
 
 
 def possible(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
@@ -292,13 +328,15 @@ def similar(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, shingle: in
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """(id, root) of the rows of df whose id isn't null: root is the smallest id that can be reached over pairs of texts whose weighted Jaccard of word shingles is least or more.
 
-    1. Texts of the same words are one node.
+    1. Texts of the same words are one node. SimHash links nodes of close fingerprints, if their similarity
+       is enough; no radius finds all similar texts, so the other steps find the rest.
     2. Of two sets as similar as that, the first n - ceil(least * n) + 1 elements by any common order
        share one. Nodes that share one of these meet; common shingles come last, so few do.
     3. Each node is first compared with some leaders, then, round by round, with some of the largest group
        that it met and isn't in; that costs as many comparisons as nodes.
     4. When rounds find little more, big groups are compared as a whole with each node that met one of
-       theirs, and nodes of small groups that met with each other, if sizes and places allow the similarity.
+       theirs, and nodes of small groups that met with each other, if sizes, places and tallies of their
+       elements allow the similarity.
 
     Texts without words are alike. Shingles are compared by 64-bit hashes. Null texts count as empty;
     rows that repeat an id and empty tables are as they are.
@@ -346,8 +384,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     few = lambda df, x, y: df.groupBy(x).agg(F.slice(F.array_sort(F.collect_set(y), lambda p, q: order(p, q)), 1, STARS).alias("l")).select(x, F.explode("l").alias(y)).select(*pair(x, y)).distinct()
     order = lambda p, q: F.when(F.xxhash64(p) < F.xxhash64(q), -1).when(F.xxhash64(p) > F.xxhash64(q), 1).otherwise(0)
-    done = checkpointed(few(met.where("node != lead"), "node", "lead"))
     sketches = sketched(texts, shingle)
+    done = checkpointed(close_prints(sketches).union(few(met.where("node != lead"), "node", "lead")).distinct())
     links = similar(done, texts, sketches, shingle, least)
     turn, found = 0, None
 
@@ -375,7 +413,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     members = groups.select("node", F.col("root").alias("group")).join(big, "group")
     links = checkpointed(links.union(meet(visits, members.select("node", "group"), texts, shingle, least)))
     # Nodes of those big groups have been compared with all that they met; the others meet each other.
-    rest = checkpointed(dealt(marks, across(least), ["a", "b"]).distinct().join(done, ["a", "b"], "left_anti"))
+    small = marks.where("big = 0").join(sketches.select("node", *TALLY), "node").select("h", "node", "n", "place", "group", *TALLY)
+    rest = checkpointed(dealt(small, across(least), ["a", "b"]).distinct().join(done, ["a", "b"], "left_anti"))
     discard(marks, met, visits, done)
     links = links.union(similar(rest, texts, sketches, shingle, least))
     # Rows that repeat an id which is the least of two texts are one node.

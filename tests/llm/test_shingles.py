@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline as cp
+import numpy as np
 import pytest
 
 from tallyweave.llm import shingles
@@ -94,3 +95,41 @@ def test_only_texts_of_possible_pairs_travel(spark, monkeypatch):
     want = sorted((a, b) for k, (a, s) in enumerate(rows) for b, t in rows[k + 1 :] if weighted(s, t) >= 0.8)
     assert shingles.possible(pairs, sketches, 0.8).count() < 60 < pairs.count()
     assert sorted(map(tuple, shingles.similar(pairs, texts, sketches, 5, 0.8).collect())) == want and len(want) == 36
+
+
+def test_simhash_finds_near_copies_by_itself(spark, monkeypatch):
+    """The stage goes by fingerprints: near copies are found with no prefixes at all, and what is close only by fingerprint stays."""
+    monkeypatch.setattr(shingles, "prefix", lambda e, *a: e[:0])
+    rnd = random.Random(8)
+    rows = [(i, " ".join(f"w{rnd.randrange(9000)}" for _ in range(400))) for i in range(20)]
+    rows += [(100 + i, t.rsplit(" ", 1)[0] + f" x{i}") for i, t in rows]
+    found = shingles.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(r.root == r.id % 100 for r in found.collect()) and found.count() == 40
+    monkeypatch.setattr(shingles, "RADIUS", 30)
+    apart = [(i, " ".join(f"w{rnd.randrange(9000)}" for _ in range(400))) for i in range(8)]
+    assert all(r.root == r.id for r in shingles.near_copies(spark.createDataFrame(apart, "doc_id long, text string")).collect())
+
+
+def test_tallies_rule_out_texts_that_share_a_passage():
+    """No similar pair is ruled out, and texts that only share a passage give no pair, however many they are."""
+    rnd, ruled_out, similar = random.Random(10), 0, 0
+    for _ in range(2000):
+        w = [f"w{rnd.randrange(400)}" for _ in range(rnd.randint(1, 600))]
+        v = list(w)
+        for _ in range(rnd.randint(0, 25)):
+            at = rnd.randrange(len(v))
+            v[at : at + rnd.randint(0, 2)] = [f"x{rnd.randrange(400)}"] * rnd.randint(1, 3)
+        x, y = (shingles.elements(" ".join(t).encode()) for t in (w, v))
+        bins = shingles.bins_of(np.stack([shingles.tally(x), shingles.tally(y)]))
+        gap = int(shingles.apart(bins[0], bins[1:])[0])
+        assert gap <= len(np.setxor1d(x, y))
+        ruled_out += gap > (len(x) + len(y)) / 9
+        similar += shingles.jaccard(x, y) >= 0.8
+    assert ruled_out > 300 and similar > 300
+    passage = [f"p{i}" for i in range(60)]
+    own = [shingles.elements(" ".join([f"w{rnd.randrange(99999)}" for _ in range(rnd.randint(400, 440))] + passage).encode()) for _ in range(200)]
+    rows = np.array([(1, i, len(e), 0, i, *shingles.tally(e)) for i, e in enumerate(own)], np.int64)
+    assert shingles.across(0.8)(rows) is None
+    twins = rows[[0, 0, 1]]
+    twins[1, [1, 4]] = 500
+    assert shingles.across(0.8)(twins).tolist() == [[0, 500]]

@@ -140,3 +140,17 @@ def test_score_equals_plain_convolution():
             at += width * model.shape.filters
         assert abs(model.logit(text) - total) < 1e-3
         assert abs(model.logit(text, block=5) - total) < 1e-3
+
+
+def test_training_texts_stay_off_the_driver(spark, monkeypatch):
+    """Only the model comes to the driver, and it is that of the same rows trained here."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("texts on the driver") if "__text" in self.columns else collect(self))
+    rows = [(i, f"{'vile' if i % 3 == 0 else 'fine'} w{i % 40} w{i % 7}", "en") for i in range(400)]
+    shape = toxicity.Shape(steps=300)
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i, *_ in rows], "doc_id long, toxic int"), shape=shape)
+    own = sorted((r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2), key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
+    want = toxicity.train([t for _, t, _ in own], [int(i % 3 == 0) for i, *_ in own], [x for *_, x in own], shape)
+    assert all(model.score(t) == want.score(t) for _, t, _ in rows) and model.thresholds == want.thresholds and model.threshold == want.threshold
