@@ -126,16 +126,32 @@ def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(held)]
 
 
-def dealt(rows: DataFrame, each: Callable, names: list[str]) -> DataFrame:
-    """What each gives (an array of longs or None) for the rows of each key, the first column."""
+def once(found: Iterator[np.ndarray], most: int = 1_000_000) -> Iterator[np.ndarray]:
+    """The rows without repeats, as far as a task can hold them: whenever most rows have come, the different ones go on if they are more than half of that."""
+    held: list[np.ndarray] = []
+    for x in found:
+        held.append(x)
+        if sum(map(len, held)) > most:
+            held = [np.unique(np.concatenate(held), axis=0)]
+            if len(held[0]) > most // 2:
+                yield held.pop()
+    if held:
+        yield np.unique(np.concatenate(held), axis=0)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def dealt(rows: DataFrame, each: Callable, names: list[str], repeats: bool = True) -> DataFrame:
+    """What each gives (an array of longs or None) for the rows of each key, the first column. Without repeats, a task gives what several of its keys give once."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for groups in by_key(batches):
-            found = [x for g in groups if len(g) > 1 and (x := each(g)) is not None]
-            if found:
-                out = np.concatenate(found)
-                for i in range(0, len(out), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in out[i : i + 50_000].T], names)
+            some = [x for g in groups if len(g) > 1 and (x := each(g)) is not None]
+            if some:
+                yield np.concatenate(some)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in found(batches) if repeats else once(found(batches)):
+            for i in range(0, len(out), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in out[i : i + 50_000].T], names)
 
     key = rows.columns[0]
     return rows.repartition(key).sortWithinPartitions(key).mapInArrow(work, ", ".join(f"{n} long" for n in names))
@@ -414,7 +430,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     links = checkpointed(links.union(meet(visits, members.select("node", "group"), texts, shingle, least)))
     # Nodes of those big groups have been compared with all that they met; the others meet each other.
     small = marks.where("big = 0").join(sketches.select("node", *TALLY), "node").select("h", "node", "n", "place", "group", *TALLY)
-    rest = checkpointed(dealt(small, across(least), ["a", "b"]).distinct().join(done, ["a", "b"], "left_anti"))
+    rest = checkpointed(dealt(small, across(least), ["a", "b"], repeats=False).distinct().join(done, ["a", "b"], "left_anti"))
     discard(marks, met, visits, done)
     links = links.union(similar(rest, texts, sketches, shingle, least))
     # Rows that repeat an id which is the least of two texts are one node.

@@ -133,3 +133,17 @@ def test_tallies_rule_out_texts_that_share_a_passage():
     twins = rows[[0, 0, 1]]
     twins[1, [1, 4]] = 500
     assert shingles.across(0.8)(twins).tolist() == [[0, 500]]
+
+
+def test_pairs_of_many_shingles_are_written_once(spark):
+    """A task that meets a pair by many shingles writes it once; with little room it may repeat it but loses none."""
+    e = shingles.elements(" ".join(f"w{i}" for i in range(300)).encode())
+    rows = [(h, node, len(e), 0, node, *map(int, shingles.tally(e))) for h in range(50) for node in (1, 2, 3)]
+    df = spark.createDataFrame(rows, ["h", "node", "n", "place", "group", *shingles.TALLY])
+    got = shingles.dealt(df.coalesce(1), shingles.across(0.8), ["a", "b"], repeats=False)
+    assert 3 <= got.count() <= 3 * got.rdd.getNumPartitions() < 150
+    parts = [np.array([(i % 7, j) for j in range(4)]) for i in range(60)]
+    for most in (5, 20, 1000):
+        out = np.concatenate(list(shingles.once(iter(parts), most)))
+        assert {tuple(x) for x in out.tolist()} == {(i, j) for i in range(7) for j in range(4)}
+    assert len(out) == 28
