@@ -388,3 +388,22 @@ def test_training_rows_come_as_columns(spark, monkeypatch):
     want = training.fit_trees(x[~val].astype(float), y[~val].astype(float), x[val].astype(float), y[val].astype(float), ["a", "b", "c"], [1, 0, 0], rounds=8, leaves=7)
     assert model.trees and model.dumps() == want.dumps()
     assert training.arrays(training.bounded(df), ("a", "b", "c"), "train")[0].dtype == np.float32
+
+
+def test_trees_learn_from_all_rows(spark, monkeypatch):
+    """More rows than the driver takes train the same model, none left out, and don't come to the driver."""
+    rnd = np.random.default_rng(8)
+    x = np.round(rnd.normal(size=(1500, 4)), 2).astype(np.float32)
+    x[:, 2], x[:, 3] = np.round(x[:, 2]), 7
+    y = (x[:, 0] + 0.4 * x[:, 1] * x[:, 2] + 0.3 * rnd.random(1500) > 0.6).astype(int)
+    rows = [(f"S1-{i:04d}", f"S2-{i}", *map(float, x[i]), int(y[i]), ("val", "train", "train", "calib")[i % 4]) for i in range(1500)]
+    more = {"columns": ("a", "b", "c", "d"), "signs": [1, 0, -1, 0], "rounds": 4, "leaves": 9}
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"source1_entity_id string, candidate_entity_id string, a {kind}, b {kind}, c {kind}, d {kind}, label int, role string").repartition(3)
+        whole = training.train(df, **more)
+        with monkeypatch.context() as m:
+            m.setattr(training, "arrays", lambda *a: pytest.fail("rows on the driver"))
+            assert training.train(df, limit=100, **more).dumps() == whole.dumps()
+        assert len(whole.trees) == 4 and max(len(t.value) for t in whole.trees) == 17
+    rare = np.array([-3.5, -0.0, 0.0, 2**-149, 1e30, 7, 7], np.float32)
+    assert training.from_order(np.sort(training.in_order(rare))).tolist() == sorted(rare.tolist())
