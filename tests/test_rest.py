@@ -407,3 +407,13 @@ def test_trees_learn_from_all_rows(spark, monkeypatch):
         assert len(whole.trees) == 4 and max(len(t.value) for t in whole.trees) == 17
     rare = np.array([-3.5, -0.0, 0.0, 2**-149, 1e30, 7, 7], np.float32)
     assert training.from_order(np.sort(training.in_order(rare))).tolist() == sorted(rare.tolist())
+
+
+def test_isotonic_scores_learn_from_all_rows(spark, monkeypatch):
+    """The scores of isotonic_scores don't depend on how many rows the driver takes."""
+    whole, made = training.train, []
+    got = []
+    for limit in (10**6, 40):
+        monkeypatch.setattr(training, "train", lambda rows, limit=limit, **more: made.append(whole(rows, limit=limit, **more | {"rounds": 2})) or made[-1])
+        got.append(sorted(map(tuple, catalog_party.QUERIES["isotonic_scores"](spark, SF).collect())))
+    assert got[0] == got[1] and made[0].trees and made[0].dumps() == made[1].dumps()
