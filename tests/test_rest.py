@@ -417,3 +417,28 @@ def test_isotonic_scores_learn_from_all_rows(spark, monkeypatch):
         monkeypatch.setattr(training, "train", lambda rows, limit=limit, **more: made.append(whole(rows, limit=limit, **more | {"rounds": 2})) or made[-1])
         got.append(sorted(map(tuple, catalog_party.QUERIES["isotonic_scores"](spark, SF).collect())))
     assert got[0] == got[1] and made[0].trees and made[0].dumps() == made[1].dumps()
+
+
+def test_address_pairs_count_every_shared_gram(spark):
+    """tfidf_topk_addr is the plain cosine over all grams that two records of the pool have, however common they are."""
+    import math
+    from collections import Counter
+
+    rows = [(r.entity_id, r.country, list(r.addr_tokens)) for r in party.norm(spark, SF).collect()]
+
+    def grams(t):
+        return Counter(g for w in t for n in (3, 4) for g in [f" {w} "[i : i + n] for i in range(max(len(w) + 3 - n, 1))])
+
+    n, df = Counter(c for i, c, t in rows if t and i[:2] != "S1"), Counter((c, g) for i, c, t in rows if i[:2] != "S1" for g in grams(t))
+    weights = {}
+    for i, c, t in rows:
+        w = {g: (math.log(m) + 1) * (math.log((n[c] + 1) / (df[c, g] + 1)) + 1) for g, m in grams(t).items() if df[c, g] >= 2}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        weights[i, c] = {g: x / size for g, x in w.items()}
+    want = set()
+    for (i, c), w in weights.items():
+        if i[:2] == "S1":
+            near = [(-round(sum(w[g] * v[g] for g in w.keys() & v.keys()), 8), j) for (j, d), v in weights.items() if d == c and j[:2] != "S1" and w.keys() & v.keys()]
+            want |= {(i, j, at, round(-x, 6)) for at, (x, j) in enumerate(sorted(near)[:5], 1)}
+    got = {(r[0], r[1], r[2], round(r[3], 6)) for r in catalog_party.QUERIES["tfidf_topk_addr"](spark, SF).collect()}
+    assert got == want and len(got) > 500
